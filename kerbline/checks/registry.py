@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from kerbline.checks import cleaning_checks, history_checks, report_checks
+from kerbline.checks import cleaning_checks, history_checks, model_checks, report_checks
 
-FAMILIES = [cleaning_checks, history_checks, report_checks]
+FAMILIES = [cleaning_checks, history_checks, report_checks, model_checks]
 
 
 def queries() -> dict:

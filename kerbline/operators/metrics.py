@@ -136,8 +136,8 @@ def roc_curve(
         (F.col("fp") / F.nullif(F.col("_all.n"), F.lit(0))).alias("fpr"),
         (F.col("tp") / F.nullif(F.col("_all.p"), F.lit(0))).alias("tpr"),
     )
-    start = preds.sparkSession.createDataFrame(
-        [(float("inf"), 0.0, 0.0)], "threshold double, fpr double, tpr double"
+    start = preds.sparkSession.range(1).select(
+        F.lit(float("inf")).alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr")
     )
     return start.unionByName(points)
 

@@ -95,8 +95,9 @@ def day_hour_heatmap(
 ) -> DataFrame:
     """Rate by weekday and hour; every weekday is there, Sunday first."""
     wide = df.groupBy(dow).pivot(hour, HOURS).agg(F.avg(occupied))
-    days = df.sparkSession.createDataFrame(
-        list(calendar.DAY_NAMES.items()), "dow int, day_name string"
+    day = F.col("id").cast("int")
+    days = df.sparkSession.range(1, 8).select(
+        day.alias("dow"), calendar.day_name(day).alias("day_name")
     )
     filled = days.join(F.broadcast(wide.withColumnRenamed(dow, "dow")), "dow", "left")
     return filled.select(

@@ -34,7 +34,8 @@ def balanced_sample(
     """The same number of rows of every class: `k`, or the size of the smallest class.
 
     Rows are taken in the order of a digest of `key`, which has to be unique. A histogram of digest
-    prefixes says how far to read, so only about `k` rows per class are ever ranked.
+    prefixes tells in which cell each class reaches its number; cells before it are taken whole, and
+    only inside a cell are rows ranked.
     """
     known = df.filter(F.col(class_col).isNotNull())
     marked = known.withColumn("_digest", hashing.digest(F.col(key), seed)).withColumn(
@@ -42,21 +43,25 @@ def balanced_sample(
     )
     cells = marked.groupBy(class_col, "_cell").agg(F.count(F.lit(1)).alias("_n"))
     upto = F.sum("_n").over(Window.partitionBy(class_col).orderBy("_cell"))
-    smallest = (
+    wanted = (
         cells.groupBy(class_col)
         .agg(F.sum("_n").alias("_size"))
         .agg(F.least(F.min("_size"), F.lit(k)))
         .scalar()
     )
-    read_to = (
+    last = (
         cells.withColumn("_upto", upto)
-        .filter(F.col("_upto") >= smallest)
+        .filter(F.col("_upto") >= wanted)
         .groupBy(class_col)
-        .agg(F.min("_cell").alias("_last"))
+        .agg(
+            F.min("_cell").alias("_last"),
+            (wanted - F.min(F.col("_upto") - F.col("_n"))).alias("_open"),
+        )
     )
-    near = attach(marked, read_to, [class_col], "inner").filter(F.col("_cell") <= F.col("_last"))
-    place = F.row_number().over(Window.partitionBy(class_col).orderBy("_digest", key))
-    return near.withColumn("_place", place).filter(F.col("_place") <= smallest).select(*df.columns)
+    near = attach(marked, last, [class_col], "inner").filter(F.col("_cell") <= F.col("_last"))
+    place = F.row_number().over(Window.partitionBy(class_col, "_cell").orderBy("_digest", key))
+    taken = (F.col("_cell") < F.col("_last")) | (F.col("_place") <= F.col("_open"))
+    return near.withColumn("_place", place).filter(taken).select(*df.columns)
 
 
 def shuffle_rows(df: DataFrame, key: str, seed: int = 42) -> DataFrame:

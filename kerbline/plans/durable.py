@@ -23,6 +23,12 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def spread(kept: DataFrame) -> DataFrame:
+    """A durable table on at least as many partitions as there are cores, for iterative training."""
+    cores = kept.sparkSession.sparkContext.defaultParallelism
+    return kept if kept.rdd.getNumPartitions() >= cores else kept.repartition(cores)
+
+
 def attach(df: DataFrame, lookup: DataFrame, on: list[str], how: str = "left") -> DataFrame:
     """Join a table of per-key facts onto rows.
 
