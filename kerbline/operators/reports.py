@@ -210,16 +210,18 @@ def dwell_histogram(
 def duration_histogram(
     df: DataFrame, upper: float = 1440, bins: int = 50, column: str = "duration_min"
 ) -> DataFrame:
-    """Counts in equal bins between the least and the greatest value, cut at `upper` first."""
+    """Counts in equal bins between the least and the greatest value, cut at `upper` first.
+
+    A single value gets a range of one around it.
+    """
     cut = df.filter(F.col(column).isNotNull()).select(
         F.least(F.col(column), F.lit(float(upper))).alias("_x")
     )
-    ends = cut.agg(F.struct(F.min("_x").alias("a"), F.max("_x").alias("b"))).scalar()
+    least, most = F.min("_x"), F.max("_x")
+    pad = F.when(least == most, 0.5).otherwise(0.0)
+    ends = cut.agg(F.struct((least - pad).alias("a"), (most + pad).alias("b"))).scalar()
     a, b = F.col("_e.a"), F.col("_e.b")
-    width = F.nullif(b - a, F.lit(0.0))
-    place = F.coalesce(
-        F.least(F.floor((F.col("_x") - a) * bins / width), F.lit(bins - 1)), F.lit(0)
-    ).cast("int")
+    place = F.least(F.floor((F.col("_x") - a) * bins / (b - a)), F.lit(bins - 1)).cast("int")
     counts = (
         cut.withColumn("_e", ends)
         .groupBy(place.alias("bin"))
