@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 
-def write_parquet(df: DataFrame, path: str) -> dict[str, int]:
-    """Write over `path`; returns the row count, taken during the write itself."""
-    seen = Observation()
-    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-    counted.write.mode("overwrite").parquet(path)
-    return seen.get
+def write_parquet(df: DataFrame, path: str) -> int:
+    """Write over `path`; returns the row count.
+
+    The count comes from the footers of the written files, so the rows are not computed again.
+    (An observation during the write would do too, but a session that has one can no longer send
+    trained models to its executors.)
+    """
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path).count()
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -42,6 +44,7 @@ def register_bronze(spark: SparkSession, path: str, name: str = "parking_bronze"
     """(Re)create the table over the folder; the files stay as they are."""
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{path}'")
+    spark.catalog.recoverPartitions(name)
 
 
 def save_model(model, path: str) -> None:
