@@ -11,6 +11,7 @@ from kerbline.functions import calendar, texts, times
 from kerbline.operators import cleaning as c
 from kerbline.operators import features as f
 from kerbline.operators import stats
+from kerbline.plans.durable import durable
 from kerbline.sources.standin import dated, loose, sensors, table
 
 ZONE = "America/New_York"
@@ -47,7 +48,8 @@ def _variant_names(spark, sf):
 
 
 def bronze(spark, sf):
-    return c.bronze_events(loose(spark, sf))
+    """Bronze events of the export as stored text, the way a file would hold it."""
+    return c.bronze_events(durable(loose(spark, sf)))
 
 
 def silver(spark, sf):

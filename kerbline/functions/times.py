@@ -5,22 +5,27 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The text formats of the exports, tried in this order after ISO.
-TIME_FORMATS = ["yyyy-MM-dd HH:mm:ss", "MM/dd/yyyy HH:mm:ss", "dd/MM/yyyy HH:mm:ss"]
-
 HOUR_MICROS = 3600 * 1_000_000
 
+SLASHED = r"^([0-9]{2})/([0-9]{2})/([0-9]{4})( [0-9]{2}:[0-9]{2}:[0-9]{2})$"
+DASHED = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2} [0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}$"
+
 
 def parse_ts(text: Column) -> Column:
-    """First format that fits wins; text that fits none is null (ANSI mode would throw)."""
-    tries = [F.try_to_timestamp(text)]
-    tries += [F.try_to_timestamp(text, F.lit(fmt)) for fmt in TIME_FORMATS]
-    return F.coalesce(*tries)
+    """ISO, else month/day/year, else day/month/year; text that fits none is null.
+
+    A slashed date is turned into ISO text and cast. Parsing by pattern would raise and catch an
+    error for every row that a pattern does not fit.
+    """
+    month_first = F.regexp_replace(text, SLASHED, "$3-$1-$2$4")
+    day_first = F.regexp_replace(text, SLASHED, "$3-$2-$1$4")
+    return F.coalesce(*[t.try_cast("timestamp") for t in (text, month_first, day_first)])
 
 
 def parse_event_time(text: Column) -> Column:
     """Stream times: a `+hh:mm` offset is cut off, whatever else follows makes the time null."""
-    return F.try_to_timestamp(F.substring_index(text, "+", 1), F.lit("yyyy-M-d H:m:s"))
+    local = F.substring_index(text, "+", 1)
+    return F.when(local.rlike(DASHED), local.try_cast("timestamp"))
 
 
 def micros(ts: Column) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from kerbline.functions import calendar
 from kerbline.plans.durable import attach, durable
-from kerbline.plans.limits import limit
+from kerbline.plans.limits import distinct_estimate, limit
 from kerbline.plans.quantiles import quantiles
 from kerbline.plans.slices import positions
 
@@ -99,8 +99,9 @@ def impute_duration(
     df: DataFrame, column: str = "duration_min", street: str = "street_marker"
 ) -> DataFrame:
     """`duration_min_imp`: the value, else the median of its street, else of all rows."""
-    local = quantiles(df.filter(F.col(street).isNotNull()), column, [0.5], [street])
-    overall = quantiles(df, column, [0.5])
+    distinct = distinct_estimate(df, column)
+    local = quantiles(df.filter(F.col(street).isNotNull()), column, [0.5], [street], distinct=distinct)
+    overall = quantiles(df, column, [0.5], distinct=distinct)
     filled = attach(df, local.select(street, F.col("q")[0].alias("_median")), [street])
     return filled.withColumn(
         "duration_min_imp",

@@ -24,6 +24,8 @@ def dedup_events(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Da
     meets in one task.
     """
     rest = [c for c in df.columns if c not in keys]
+    if not rest:
+        return df.distinct()
     first = F.min_by(F.struct(*rest), F.struct(*order)).alias("_first")
     return df.groupBy(*keys).agg(first).select(*keys, "_first.*").select(*df.columns)
 

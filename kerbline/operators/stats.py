@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from kerbline.functions.texts import NUMBER
 from kerbline.plans.durable import attach
+from kerbline.plans.limits import distinct_estimate
 from kerbline.plans.quantiles import quantiles
 
 ROBUST = 0.6745
@@ -137,9 +138,11 @@ def winsorize(
 
 def robust_z(df: DataFrame, column: str = "duration_min", name: str | None = None) -> DataFrame:
     """`<column>_robust_z` from the median and the median absolute deviation (0 counts as 1)."""
-    median = quantiles(df, column, [0.5]).select(F.col("q")[0]).scalar()
+    # the deviations have no more distinct values than the column
+    distinct = distinct_estimate(df, column)
+    median = quantiles(df, column, [0.5], distinct=distinct).select(F.col("q")[0]).scalar()
     centred = df.withColumn("_off", F.col(column) - median)
-    spread = quantiles(centred.withColumn("_abs", F.abs("_off")), "_abs", [0.5])
+    spread = quantiles(centred.withColumn("_abs", F.abs("_off")), "_abs", [0.5], distinct=distinct)
     mad = spread.select(F.coalesce(F.nullif(F.col("q")[0], F.lit(0.0)), F.lit(1.0))).scalar()
     return centred.withColumn(name or f"{column}_robust_z", ROBUST * F.col("_off") / mad).drop("_off")
 

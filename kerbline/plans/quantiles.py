@@ -18,12 +18,14 @@ def quantiles(
     probs: Sequence[float],
     by: Sequence[str] = (),
     accuracy: int | None = None,
+    distinct: int | None = None,
 ) -> DataFrame:
     """One row per key (or one row): `by` columns and `q`, an array along `probs`.
 
     Spark's exact percentile holds every distinct value of a key in one task. It is used while
     their measured number is small; beyond that the values are counted, put in order across the
-    cluster and looked up by rank. `accuracy` asks for the approximate sketch instead.
+    cluster and looked up by rank. `accuracy` asks for the approximate sketch instead. `distinct`
+    passes the number on where the caller has measured it.
     """
     number = F.col(value).cast("double").alias("_x")
     known = df.filter(F.col(value).isNotNull()).select(*by, number)
@@ -31,7 +33,9 @@ def quantiles(
     if accuracy is not None:
         sketch = F.percentile_approx("_x", [float(p) for p in probs], accuracy)
         return _grouped(known, by).agg(sketch.alias("q"))
-    if distinct_estimate(known, "_x") <= limit(df.sparkSession, "distinctValues"):
+    if distinct is None:
+        distinct = distinct_estimate(known, "_x")
+    if distinct <= limit(df.sparkSession, "distinctValues"):
         return _grouped(known, by).agg(F.percentile("_x", wanted).alias("q"))
     return _by_rank(known, probs, by)
 

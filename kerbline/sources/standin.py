@@ -62,14 +62,17 @@ def loose(spark: SparkSession, folder: str) -> DataFrame:
     rows = sensors(spark, folder)
     number = F.col("event_id")
 
+    form = (
+        F.when(number % 4 == 0, "$1-$2-$3 $4")
+        .when(number % 4 == 1, "$2/$3/$1 $4")
+        .when(number % 4 == 2, "$3/$2/$1 $4")
+        .otherwise("$1-$2-$3T$4")
+    )
+
     def text(ts):
-        return (
-            F.when(number % 97 == 0, "n/a")
-            .when(number % 4 == 0, F.date_format(ts, "yyyy-MM-dd HH:mm:ss"))
-            .when(number % 4 == 1, F.date_format(ts, "MM/dd/yyyy HH:mm:ss"))
-            .when(number % 4 == 2, F.date_format(ts, "dd/MM/yyyy HH:mm:ss"))
-            .otherwise(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"))
-        )
+        iso = F.date_format(ts, "yyyy-MM-dd HH:mm:ss")
+        arranged = F.regexp_replace(iso, F.lit("^(....)-(..)-(..) (.*)$"), form)
+        return F.when(number % 97 == 0, "n/a").otherwise(arranged)
 
     minutes = F.when(number % 11 == 0, "abc").when(number % 7 != 0, F.col("duration_min").cast("string"))
     return rows.select(

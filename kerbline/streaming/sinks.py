@@ -25,7 +25,8 @@ def start_window_sink(
     """Start writing window versions under `path`. `once` stops when the files at hand are read."""
 
     def write_batch(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+        # few files per batch, however many partitions hold the state
+        batch.hint("rebalance").write.mode("overwrite").parquet(f"{path}/batch={number}")
 
     writer = (
         windows.writeStream.outputMode(mode)
