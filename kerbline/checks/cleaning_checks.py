@@ -58,7 +58,9 @@ def silver(spark, sf):
 
 
 QUERIES = {
-    "schema_profile": lambda s, d: stats.schema_profile(loose(s, d).drop("SignPlateID")),
+    "schema_profile": lambda s, d: stats.schema_profile(
+        durable(loose(s, d)).drop("SignPlateID")
+    ),
     "resolve_columns": lambda s, d: c.resolve_columns(_variant_names(s, d)),
     "parse_ts": lambda s, d: plain(
         _typed_loose(s, d).select("event_id", "ArrivalTime", "DepartureTime")

@@ -63,17 +63,23 @@ def _scaled(with_mean, spark, sf):
 
 
 def _design(spark, sf):
-    """Design matrix: the numbers, then which place of the street block and device block is set."""
+    """Design matrix: the numbers, then which place of the street block and device block is set.
+
+    The vectors are read as they are stored, most of them sparse, without writing out their zeros.
+    """
     rows = ml.design_matrix(dated(spark, sf), PLAIN_NUMBERS)
-    cells = ml.vector_to_array("design")
+    stored = F.unwrap_udt("design")
+    dense = F.filter(
+        F.transform(stored["values"], lambda x, i: F.when(x != 0.0, i)), lambda i: i.isNotNull()
+    )
     places = F.filter(
-        F.transform(cells, lambda x, i: F.when((i >= len(PLAIN_NUMBERS)) & (x == 1.0), i)),
-        lambda i: i.isNotNull(),
+        F.coalesce(stored["indices"], dense), lambda i: i >= len(PLAIN_NUMBERS)
     )
     return plain(
         rows.select(
-            "event_id", *[cells[i].alias(n) for i, n in enumerate(PLAIN_NUMBERS)],
-            F.size(cells).alias("width"), F.element_at(places, 1).alias("street_place"),
+            "event_id", *[F.col(n).cast("double").alias(n) for n in PLAIN_NUMBERS],
+            F.coalesce(stored["size"], F.size(stored["values"])).alias("width"),
+            F.element_at(places, 1).alias("street_place"),
             F.element_at(places, 2).alias("device_place"),
         )
     )

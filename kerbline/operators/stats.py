@@ -88,38 +88,46 @@ def peek_rows(df: DataFrame, n: int = 5) -> DataFrame:
 def schema_profile(df: DataFrame) -> DataFrame:
     """Per column: place, declared type, the narrowest type that all its values fit, known values.
 
-    Reads the whole table once; only text columns are tried for narrower types.
+    Reads the whole table once; only text columns are tried for narrower types. Each value gives a
+    bit per type it fits, and the bits that all values share remain.
     """
-    def fits(c):
-        text = F.col(c)
-        known = F.count(c)
-        tests = {
-            "bigint": text.try_cast("bigint").isNotNull() & text.rlike(r"^\s*[+-]?[0-9]+\s*$"),
-            "double": text.rlike(NUMBER),
-            "boolean": F.lower(text).isin("true", "false"),
-            "timestamp": F.try_to_timestamp(text).isNotNull(),
-        }
-        inferred = F.lit("string")
-        for name in reversed(tests):
-            inferred = F.when(F.count_if(tests[name]) == known, name).otherwise(inferred)
-        return F.when(known > 0, inferred).otherwise("string")
-
     cells = []
     for i, field in enumerate(df.schema.fields):
-        declared = field.dataType.simpleString()
-        is_text = isinstance(field.dataType, T.StringType)
+        declared = F.lit(field.dataType.simpleString())
+        if isinstance(field.dataType, T.StringType):
+            shared = F.bit_and(_type_bits(F.col(field.name)))
+            inferred = F.lit("string")
+            for name in reversed(TEXT_TYPES):
+                inferred = F.when(shared.bitwiseAND(TEXT_TYPES[name]) > 0, name).otherwise(inferred)
+        else:
+            inferred = declared
         cells.append(
             F.struct(
                 F.lit(i).alias("position"),
                 F.lit(field.name).alias("column"),
-                F.lit(declared).alias("declared"),
-                (fits(field.name) if is_text else F.lit(declared)).alias("inferred"),
+                declared.alias("declared"),
+                inferred.alias("inferred"),
                 F.count(field.name).alias("nonnull"),
             )
         )
     return df.agg(F.array(*cells).alias("_cells")).select(F.inline("_cells"))
 
 
+# Types a text may stand for, narrowest first, with the bit of each.
+TEXT_TYPES = {"bigint": 1, "double": 2, "boolean": 4, "timestamp": 8}
+
+
+def _type_bits(text):
+    """Bits of the types a text fits; null for null."""
+    return (
+        F.when(text.rlike(r"^\s*[+-]?[0-9]{1,18}\s*$"), 1 + 2)
+        .when(text.rlike(NUMBER), 2)
+        .when(F.lower(text).isin("true", "false"), 4)
+        .when(text.try_cast("timestamp").isNotNull(), 8)
+        .when(text.isNotNull(), 0)
+    )
+
+
 def winsorize(
     df: DataFrame,
     column: str = "duration_min",

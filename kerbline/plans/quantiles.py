@@ -22,9 +22,9 @@ def quantiles(
 ) -> DataFrame:
     """One row per key (or one row): `by` columns and `q`, an array along `probs`.
 
-    Spark's exact percentile holds every distinct value of a key in one task. It is used while
-    their measured number is small; beyond that the values are counted, put in order across the
-    cluster and looked up by rank. `accuracy` asks for the approximate sketch instead. `distinct`
+    Values are counted first, which shrinks them before the shuffle. Spark's exact percentile holds
+    every distinct value of a key in one task: it takes the counts while the measured number of
+    values is small. Beyond that they are put in order across the cluster and looked up by rank. `accuracy` asks for the approximate sketch instead. `distinct`
     passes the number on where the caller has measured it.
     """
     number = F.col(value).cast("double").alias("_x")
@@ -35,17 +35,17 @@ def quantiles(
         return _grouped(known, by).agg(sketch.alias("q"))
     if distinct is None:
         distinct = distinct_estimate(known, "_x")
+    counts = known.groupBy(*by, "_x").agg(F.count(F.lit(1)).alias("_n"))
     if distinct <= limit(df.sparkSession, "distinctValues"):
-        return _grouped(known, by).agg(F.percentile("_x", wanted).alias("q"))
-    return _by_rank(known, probs, by)
+        return _grouped(counts, by).agg(F.percentile("_x", wanted, F.col("_n")).alias("q"))
+    return _by_rank(counts, probs, by)
 
 
 def _grouped(df: DataFrame, by: Sequence[str]):
     return df.groupBy(*by) if by else df.groupBy()
 
 
-def _by_rank(known: DataFrame, probs: Sequence[float], by: Sequence[str]) -> DataFrame:
-    counts = known.groupBy(*by, "_x").agg(F.count(F.lit(1)).alias("_n"))
+def _by_rank(counts: DataFrame, probs: Sequence[float], by: Sequence[str]) -> DataFrame:
     ranked = durable(running_sums(counts.filter(_all_known(by)), by, ["_x"], {"_upto": F.col("_n")}))
     totals = _grouped(ranked, by).agg(F.max("_upto").alias("_all"))
     if by:

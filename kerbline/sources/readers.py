@@ -18,11 +18,15 @@ def read_clean_csv(spark: SparkSession, path: str, schema: T.StructType = schema
     return spark.read.schema(schema).option("header", True).csv(path)
 
 
-def read_loose_csv(spark: SparkSession, path: str) -> DataFrame:
-    """CSV as text only, with line breaks and doubled quotes inside fields."""
+def read_loose_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """CSV as text only, with line breaks and doubled quotes inside fields.
+
+    A file that may have line breaks in fields cannot be split, so it is read by one task. Pass
+    `multi_line` False for large files without such fields.
+    """
     return (
         spark.read.option("header", True)
-        .option("multiLine", True)
+        .option("multiLine", multi_line)
         .option("quote", '"')
         .option("escape", '"')
         .csv(path)
