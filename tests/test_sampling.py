@@ -38,7 +38,7 @@ def test_shuffle_changes_order_only(spark):
 
 
 def test_time_split(spark, both_plans):
-    df = spark.range(1000).withColumn("event_time", F.timestamp_seconds(F.col("id") // 2))
+    df = spark.range(1000).withColumn("event_time", F.timestamp_seconds(F.floor(F.col("id") / 2)))
     sizes = dict(rows(s.time_split(df).groupBy("split").count()))
     assert sizes == {"train": 700, "val": 150, "test": 150}
     latest = s.time_split(df).groupBy("split").agg(F.max("id"), F.min("id"))
