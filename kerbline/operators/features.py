@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from kerbline.functions import calendar
 from kerbline.plans.durable import attach, durable
-from kerbline.plans.limits import distinct_estimate, limit
+from kerbline.plans.limits import limit, table_bytes
 from kerbline.plans.quantiles import quantiles
 from kerbline.plans.slices import positions
 
@@ -132,7 +132,7 @@ def category_index(df: DataFrame, column: str) -> DataFrame:
     counts = durable(df.filter(F.col(column).isNotNull()).groupBy(column).count())
     order = [F.col("count").desc(), F.col(column)]
     name = f"{column}_idx"
-    if counts.count() <= limit(df.sparkSession, "broadcastRows"):
+    if table_bytes(counts) <= limit(df.sparkSession, "broadcastBytes"):
         ranked = counts.withColumn(name, F.row_number().over(Window.orderBy(*order)) - 1)
     else:
         ranked = positions(counts, order, name)

@@ -3,24 +3,33 @@
 from __future__ import annotations
 
 import tempfile
+from uuid import uuid4
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbline.plans.limits import limit
+from kerbline.plans.limits import limit, table_bytes
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Compute once and keep in the shared folder of `spark.checkpoint.dir`.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of `spark.checkpoint.dir`, which driver and executors share.
 
-    A folder of our own is made only in local mode, where driver and executors share the disk.
+    Where the setting is absent, a local session (tests, a notebook) gets a folder of its own; a
+    cluster session is refused, as its machines have no folder in common.
     """
-    context = df.sparkSession.sparkContext
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="kerbline-"))
-    return df.checkpoint(eager=True)
+    return context.getCheckpointDir()
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """Compute once and keep as Parquet in the shared folder, so later reads prune and filter."""
+    path = f"{shared_folder(df.sparkSession)}/table-{uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def spread(kept: DataFrame) -> DataFrame:
@@ -32,11 +41,11 @@ def spread(kept: DataFrame) -> DataFrame:
 def attach(df: DataFrame, lookup: DataFrame, on: list[str], how: str = "left") -> DataFrame:
     """Join a table of per-key facts onto rows.
 
-    The facts are computed once and counted. Up to the limit they go to every executor, so the rows
-    do not move and a hot key does no harm. A larger table is joined by shuffle, where the
-    skew-join rule splits hot keys.
+    The facts are computed once and their bytes are measured. Up to the limit they go to every
+    executor, so the rows do not move and a hot key does no harm. A larger table is joined by
+    shuffle, where the skew-join rule splits hot keys.
     """
     kept = durable(lookup)
-    if kept.count() <= limit(df.sparkSession, "broadcastRows"):
+    if table_bytes(kept) <= limit(df.sparkSession, "broadcastBytes"):
         kept = F.broadcast(kept)
     return df.join(kept, on, how)

@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 DEFAULTS = {
-    # rows a table may have to be sent whole to every executor
-    "broadcastRows": 200_000,
+    # bytes a table may have to be sent whole to every executor
+    "broadcastBytes": 8_000_000,
     # rows of one key that a single task may order
     "keyRows": 5_000_000,
     # distinct values the buffer of an exact percentile may hold
@@ -36,3 +36,15 @@ def heaviest_key(df: DataFrame, by: Sequence[str]) -> int:
 def distinct_estimate(df: DataFrame, column: str) -> int:
     """Number of distinct values within a few per cent, from a fixed-size sketch."""
     return df.agg(F.approx_count_distinct(column)).first()[0]
+
+
+def table_bytes(df: DataFrame) -> int:
+    """Upper estimate of a table's size in memory: 16 bytes a field and the characters of texts."""
+    texts = [
+        F.length(f"`{f.name}`")
+        for f in df.schema.fields
+        if f.dataType.typeName() in ("string", "binary")
+    ]
+    fixed = 16 * len(df.columns)
+    width = sum((F.coalesce(4 * t, F.lit(0)) for t in texts), F.lit(fixed))
+    return df.agg(F.coalesce(F.sum(width.cast("long")), F.lit(0))).first()[0]

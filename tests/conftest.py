@@ -8,7 +8,7 @@ from kerbline.session import SETTINGS
 BIG_PLANS = {
     "spark.kerbline.keyRows": "1",
     "spark.kerbline.distinctValues": "1",
-    "spark.kerbline.broadcastRows": "0",
+    "spark.kerbline.broadcastBytes": "0",
     "spark.sql.adaptive.coalescePartitions.enabled": "false",
     "spark.sql.autoBroadcastJoinThreshold": "-1",
 }
