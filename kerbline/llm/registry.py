@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from kerbline.llm import op2_winnowing, op8_bpe
+from kerbline.llm import op2_winnowing, op3_simhash, op8_bpe
 
-MODULES = [op2_winnowing, op8_bpe]
+MODULES = [op2_winnowing, op3_simhash, op8_bpe]
 
 
 def queries() -> dict:
