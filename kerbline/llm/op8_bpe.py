@@ -14,7 +14,6 @@ from __future__ import annotations
 
 import functools
 import heapq
-import itertools
 import json
 import re
 import sys
@@ -42,32 +41,27 @@ WORD = re.compile(
 )
 
 
+#: What a look at every character has to find: separators, and all that Latin-1 leaves in doubt.
+_DOUBT = re.compile("[\x1c-\x1f²³¹¼-¾Ā-\U0010ffff]")
+
+
 @functools.cache
-def _odd() -> re.Pattern:
+def _odd() -> frozenset[str]:
     """Characters on which Python's classes and the pattern's differ or may differ.
 
     Letter-like and other numbers count as numbers there, separators U+001C to U+001F are no white
     space, and unassigned code points may have been assigned in a later Unicode version.
     """
-    apart = (
-        c
+    return frozenset(
+        chr(c)
         for c in range(sys.maxunicode + 1)
         if 0x1C <= c <= 0x1F or unicodedata.category(chr(c)) in ("Nl", "No", "Cn")
     )
-    spans = []
-    for _, run in itertools.groupby(enumerate(apart), lambda x: x[1] - x[0]):
-        found = [c for _, c in run]
-        spans.append(f"\\U{found[0]:08x}-\\U{found[-1]:08x}")
-    return re.compile(f"[{''.join(spans)}]")
-
-
-_ODD_ASCII = re.compile("[\x1c-\x1f]")
 
 
 def words(text: str) -> list[str]:
     """A text cut into words by the pattern."""
-    odd = _ODD_ASCII if text.isascii() else _odd()
-    if odd.search(text):
+    if _DOUBT.search(text) and not _odd().isdisjoint(text):
         cut = ByteLevel(add_prefix_space=False).pre_tokenize_str(text)
         return [text[a:b] for _, (a, b) in cut]
     return WORD.findall(text)
@@ -110,48 +104,58 @@ class Vocabulary:
         self.byte = [0] * 256
         for shown, b in bytes_of.items():
             self.byte[b] = ids[shown]
-        #: pair of ids, packed, to rank and merged id, packed
-        self.merges: dict[int, int] = {}
+        #: for each left symbol, right symbol to rank; ids made by rank
+        self.follow: list[dict[int, int]] = [{}] * size
+        self.made: list[int] = []
         for rank, merge in enumerate(model["merges"]):
             a, b = merge.split(" ") if isinstance(merge, str) else merge
-            self.merges[ids[a] << 24 | ids[b]] = rank << 24 | ids[a + b]
+            left, right = ids[a], ids[b]
+            if not self.follow[left]:
+                self.follow[left] = {}
+            self.follow[left][right] = rank
+            self.made.append(ids[a + b])
 
     def merged(self, word: bytes) -> list[int]:
         """The ids of one word: merges by rank, the leftmost first among equals."""
-        symbol = [self.byte[b] for b in word]
+        byte, follow, made = self.byte, self.follow, self.made
+        symbol = [byte[b] for b in word]
         n = len(symbol)
-        find = self.merges.get
+        shift = n.bit_length()  # a queue entry is a rank and, in its low bits, a place
         queue = []
-        for i in range(n - 1):
-            merge = find(symbol[i] << 24 | symbol[i + 1])
-            if merge is not None:
-                queue.append((merge >> 24) << 32 | i)
+        left = symbol[0]
+        for i in range(1, n):
+            right = symbol[i]
+            rank = follow[left].get(right)
+            if rank is not None:
+                queue.append(rank << shift | i - 1)
+            left = right
         if not queue:
             return symbol
         heapq.heapify(queue)
-        push, pop = heapq.heappush, heapq.heappop
+        push, pop, low = heapq.heappush, heapq.heappop, (1 << shift) - 1
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         while queue:
             entry = pop(queue)
-            i = entry & 0xFFFFFFFF
-            j = after[i]
-            if symbol[i] < 0 or j >= n:
+            i = entry & low
+            j, left = after[i], symbol[i]
+            if left < 0 or j == n:
                 continue
-            merge = find(symbol[i] << 24 | symbol[j])
-            if merge is None or merge >> 24 != entry >> 32:
+            rank = entry >> shift
+            if follow[left].get(symbol[j]) != rank:
                 continue  # stale: the pair at this place has changed
-            symbol[i], symbol[j] = merge & 0xFFFFFF, -1
+            symbol[i] = new = made[rank]
+            symbol[j] = -1
             after[i] = k = after[j]
-            if k < n:
+            if k != n:
                 before[k] = i
-                merge = find(symbol[i] << 24 | symbol[k])
-                if merge is not None:
-                    push(queue, (merge >> 24) << 32 | i)
+                rank = follow[new].get(symbol[k])
+                if rank is not None:
+                    push(queue, rank << shift | i)
             h = before[i]
             if h >= 0:
-                merge = find(symbol[h] << 24 | symbol[i])
-                if merge is not None:
-                    push(queue, (merge >> 24) << 32 | h)
+                rank = follow[symbol[h]].get(new)
+                if rank is not None:
+                    push(queue, rank << shift | h)
         return [s for s in symbol if s >= 0]
 
 
