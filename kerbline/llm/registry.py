@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from kerbline.llm import op2_winnowing, op3_simhash, op8_bpe, op9_secrets
+from kerbline.llm import op2_winnowing, op3_simhash, op7_language, op8_bpe, op9_secrets
 
-MODULES = [op2_winnowing, op3_simhash, op8_bpe, op9_secrets]
+MODULES = [op2_winnowing, op3_simhash, op7_language, op8_bpe, op9_secrets]
 
 
 def queries() -> dict:
