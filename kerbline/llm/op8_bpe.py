@@ -189,12 +189,15 @@ def _remembered(path: str, kind: str) -> Remembered:
     return Remembered(vocabulary(path), kind)
 
 
-def pack(text: str, path: str = VOCABULARY, kind: str = "<u4") -> bytes:
-    """The ids of a text as packed little-endian integers."""
+def pack(text: str, path: str = VOCABULARY, kind: str = "<u4", added: bool = True) -> bytes:
+    """The ids of a text as packed little-endian integers.
+
+    Without `added`, the strings of added tokens are ordinary text.
+    """
     table = _remembered(path, kind)
     held = table.vocabulary
     find = table.__getitem__
-    if not held.added or not held.cut.search(text):
+    if not added or not held.added or not held.cut.search(text):
         return b"".join(map(find, words(text)))
     parts = []
     for i, part in enumerate(held.cut.split(text)):
@@ -221,11 +224,13 @@ def _each(function: Callable, out: pa.DataType, empty) -> Callable:
     return over
 
 
-def encoded(text: Column, path: str = VOCABULARY, kind: str = "<u4") -> Column:
+def encoded(
+    text: Column, path: str = VOCABULARY, kind: str = "<u4", added: bool = True
+) -> Column:
     """Packed ids of a text column as binary; `kind` is the numpy type of an id."""
 
     def one(value: str) -> bytes:
-        return pack(value, path, kind)
+        return pack(value, path, kind, added)
 
     def over(column: pa.Array) -> pa.Array:
         return _each(one, pa.binary(), "")(column)

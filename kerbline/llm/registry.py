@@ -2,9 +2,25 @@
 
 from __future__ import annotations
 
-from kerbline.llm import op2_winnowing, op3_simhash, op7_language, op8_bpe, op9_secrets
+from kerbline.llm import (
+    op2_winnowing,
+    op3_simhash,
+    op5_token_counts,
+    op7_language,
+    op8_bpe,
+    op9_secrets,
+    op10_packing,
+)
 
-MODULES = [op2_winnowing, op3_simhash, op7_language, op8_bpe, op9_secrets]
+MODULES = [
+    op2_winnowing,
+    op3_simhash,
+    op5_token_counts,
+    op7_language,
+    op8_bpe,
+    op9_secrets,
+    op10_packing,
+]
 
 
 def queries() -> dict:
