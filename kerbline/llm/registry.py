@@ -6,6 +6,7 @@ from kerbline.llm import (
     op2_winnowing,
     op3_simhash,
     op5_token_counts,
+    op6_quality,
     op7_language,
     op8_bpe,
     op9_secrets,
@@ -16,6 +17,7 @@ MODULES = [
     op2_winnowing,
     op3_simhash,
     op5_token_counts,
+    op6_quality,
     op7_language,
     op8_bpe,
     op9_secrets,
