@@ -5,6 +5,7 @@ from __future__ import annotations
 from kerbline.llm import (
     op2_winnowing,
     op3_simhash,
+    op4_html,
     op5_token_counts,
     op6_quality,
     op7_language,
@@ -16,6 +17,7 @@ from kerbline.llm import (
 MODULES = [
     op2_winnowing,
     op3_simhash,
+    op4_html,
     op5_token_counts,
     op6_quality,
     op7_language,
