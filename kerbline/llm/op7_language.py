@@ -19,7 +19,6 @@ from __future__ import annotations
 
 import functools
 import re
-from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -46,43 +45,55 @@ BLOCK, REMEMBERED = 20_000, 400_000
 
 
 class Pieces:
-    """A vocabulary as a table of all prefixes: a piece's id, or -1 for a mere prefix."""
+    """A vocabulary as a tree of characters: each leads to the piece that ends there, or -1, and further on."""
 
     def __init__(self, path: str):
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         self.size = model.get_piece_size()
-        self.at: dict[str, int] = {}
+        if self.size > 1 << 16:
+            raise ValueError("piece ids need 16 bits")
+        self.root: dict[str, list] = {}
         self.byte = [0] * 256
         for i in range(self.size):
             piece = model.id_to_piece(i)
             if model.is_byte(i):
                 self.byte[int(piece[3:-1], 16)] = i
             elif not (model.is_control(i) or model.is_unknown(i)):
-                for end in range(1, len(piece)):
-                    self.at.setdefault(piece[:end], -1)
-                self.at[piece] = i
+                below = self.root
+                for c in piece:
+                    step = below.setdefault(c, [-1, {}])
+                    below = step[1]
+                step[0] = i
 
     def arcs(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """All pieces inside the words: word, begin, end, piece. Place 0 is the mark of the begin."""
-        find, byte = self.at.get, self.byte
-        held = array("q")
+        """All pieces inside the words: word, begin, end, piece. Place 0 is the mark of the begin.
+
+        An arc is packed while it is found: 16 bits of piece, the end and the begin, then the word.
+        """
+        root, byte = self.root, self.byte
+        bits = (max(map(len, words), default=0) + 1).bit_length()
+        held: list[int] = []
         add = held.append
         for w, word in enumerate(words):
             text = BEGIN + word
             n = len(text)
             for i in range(n):
-                lone = True
-                for j in range(i + 1, n + 1):
-                    piece = find(text[i:j])
-                    if piece is None:
+                head = (w << bits | i) << bits
+                below, j = root, i
+                while j < n:
+                    step = below.get(text[j])
+                    if step is None:
                         break
+                    piece, below = step
+                    j += 1
                     if piece >= 0:
-                        lone &= j > i + 1
-                        add(w), add(i), add(j), add(piece)
-                if lone:
-                    add(w), add(i), add(i + 1), add(byte[text[i].encode()[0]])
-        table = np.frombuffer(held, np.int64).reshape(-1, 4) if held else np.zeros((0, 4), np.int64)
-        return table[:, 0], table[:, 1], table[:, 2], table[:, 3]
+                        add((head | j) << 16 | piece)
+                first = root.get(text[i])
+                if first is None or first[0] < 0:
+                    add((head | i + 1) << 16 | byte[text[i].encode()[0]])
+        table = np.array(held, np.int64)
+        places = (1 << bits) - 1
+        return table >> (16 + 2 * bits), table >> (16 + bits) & places, table >> 16 & places, table & 0xFFFF
 
 
 @functools.cache
@@ -104,7 +115,8 @@ def _sweep(n, w, begin, end, weight, back: bool) -> np.ndarray:
         sums[np.arange(n), _last(n, w, begin)] = 1.0
     else:
         sums[:, 0] = 1.0
-    order = np.lexsort((w, end))
+    # Arcs come by word; a stable sort of narrow numbers keeps that order.
+    order = np.argsort(end.astype(np.uint8), kind="stable")
     w, begin, end, weight = w[order], begin[order], end[order], weight[order]
     cuts = np.flatnonzero(np.diff(end)) + 1
     groups = list(zip([0, *cuts], [*cuts, len(end)], strict=True)) if len(end) else []

@@ -10,16 +10,23 @@ from kerbline.llm import op7_language as op
 FOLDER = "/root/testdata/sf0.01"
 
 
+def piece_at(held, text):
+    below, piece = held.root, -1
+    for c in text:
+        piece, below = below.get(c, (-1, {}))
+    return piece
+
+
 def brute(held, text, p):
     """Sum over all segmentations by recursion."""
     if not text:
         return 1.0
     total = 0.0
     for j in range(1, len(text) + 1):
-        piece = held.at.get(text[:j], -1)
+        piece = piece_at(held, text[:j])
         if piece >= 0:
             total += p[piece] * brute(held, text[j:], p)
-    if held.at.get(text[:1], -1) < 0:
+    if piece_at(held, text[:1]) < 0:
         total += p[held.byte[text[0].encode()[0]]] * brute(held, text[1:], p)
     return total
 
