@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from kerbline.llm import (
+    op1_pitman_yor,
     op2_winnowing,
     op3_simhash,
     op4_html,
@@ -15,6 +16,7 @@ from kerbline.llm import (
 )
 
 MODULES = [
+    op1_pitman_yor,
     op2_winnowing,
     op3_simhash,
     op4_html,
