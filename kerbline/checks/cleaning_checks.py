@@ -59,7 +59,7 @@ def silver(spark, sf):
 
 QUERIES = {
     "schema_profile": lambda s, d: stats.schema_profile(
-        durable(loose(s, d)).drop("SignPlateID")
+        durable(loose(s, d).withColumn("BayText", F.col("BayId").cast("string")))
     ),
     "resolve_columns": lambda s, d: c.resolve_columns(_variant_names(s, d)),
     "parse_ts": lambda s, d: plain(
@@ -186,19 +186,32 @@ SQL = {
     "schema_profile": sql(
         LOOSE,
         "SELECT * FROM (VALUES "
-        "(0, 'event_id', 'bigint', 'bigint', (SELECT count(*) FROM loose)),"
-        "(1, 'BayId', 'bigint', 'bigint', (SELECT count(*) FROM loose)),"
-        "(2, 'DeviceId', 'string', 'string', (SELECT count(*) FROM loose)),"
-        "(3, 'StreetMarker', 'string', 'string', (SELECT count(*) FROM loose)),"
-        "(4, 'Status', 'string', 'string', (SELECT count(*) FROM loose)),"
-        "(5, 'ArrivalTime', 'string', 'string', (SELECT count(*) FROM loose)),"
-        "(6, 'DepartureTime', 'string', 'string', (SELECT count(*) FROM loose)),"
-        "(7, 'DurationMinutes', 'string', 'string', "
+        "(0, 'event_id', 'bigint', 'bigint', "
+        "(SELECT count(*) FROM loose)),"
+        "(1, 'BayId', 'bigint', 'bigint', "
+        "(SELECT count(*) FROM loose)),"
+        "(2, 'DeviceId', 'string', 'string', "
+        "(SELECT count(*) FROM loose)),"
+        "(3, 'StreetMarker', 'string', 'string', "
+        "(SELECT count(*) FROM loose)),"
+        "(4, 'SignPlateID', 'string', 'double', "
+        "(SELECT count(sign_value) FROM loose)),"
+        "(5, 'Status', 'string', 'string', "
+        "(SELECT count(*) FROM loose)),"
+        "(6, 'ArrivalTime', 'string', 'string', "
+        "(SELECT count(*) FROM loose)),"
+        "(7, 'DepartureTime', 'string', 'string', "
+        "(SELECT count(*) FROM loose)),"
+        "(8, 'DurationMinutes', 'string', 'string', "
         "(SELECT count(\"DurationMinutes\") FROM loose)),"
-        "(8, 'VehiclePresent', 'string', 'string', "
+        "(9, 'VehiclePresent', 'string', 'string', "
         "(SELECT count(\"VehiclePresent\") FROM loose)),"
-        "(9, 'AreaName', 'string', 'string', (SELECT count(*) FROM loose)),"
-        "(10, 'InViolation', 'boolean', 'boolean', (SELECT count(*) FROM loose))"
+        "(10, 'AreaName', 'string', 'string', "
+        "(SELECT count(*) FROM loose)),"
+        "(11, 'InViolation', 'boolean', 'boolean', "
+        "(SELECT count(*) FROM loose)),"
+        "(12, 'BayText', 'string', 'bigint', "
+        "(SELECT count(*) FROM loose))"
         ') AS t(position, "column", declared, inferred, nonnull)',
     ),
     "resolve_columns": sql(

@@ -10,6 +10,7 @@ from kerbline.operators import features as f
 from kerbline.operators import history as h
 from kerbline.operators import sampling as s
 from kerbline.plans.durable import durable
+from kerbline.plans.quantiles import quantiles
 from kerbline.sources.standin import dated, sensors, table
 
 DAY = 24 * 60
@@ -97,6 +98,17 @@ QUERIES = {
         h.time_percent_rank(sensors(p, d).withColumn("event_time", F.date_trunc("hour", "event_time")))
         .select("event_id", "event_time", "pr")
     ),
+    "time_percent_rank_nulls": lambda p, d: plain(
+        h.time_percent_rank(
+            sensors(p, d).withColumn("event_time", F.expr("nullif(date_trunc('day', event_time), TIMESTAMP'2024-01-03')"))
+        ).select("event_id", "event_time", "pr")
+    ),
+    "quantiles_by_group": lambda p, d: plain(
+        quantiles(
+            sensors(p, d).withColumn("street", F.expr("nullif(street_marker, 'S3')")),
+            "duration_min", [0.25, 0.5, 0.9], ["street"],
+        ).select("street", F.col("q")[0].alias("q25"), F.col("q")[1].alias("q50"), F.col("q")[2].alias("q90"))
+    ),
     "class_weights": lambda p, d: plain(
         s.class_weights(_labelled(p, d)).select("event_id", "label", "class_weight")
     ),
@@ -153,26 +165,35 @@ hist AS (
 
 
 def _labels(minutes: int) -> str:
-    return f"""lbl AS (
-  SELECT a.device_id, a.event_time, max(b.occupied) AS occ_in_next
-  FROM base a LEFT JOIN base b
-    ON a.device_id = b.device_id AND b.event_time > a.event_time
-   AND b.event_time <= a.event_time + INTERVAL {minutes} MINUTE
-  GROUP BY a.device_id, a.event_time
+    """For each distinct time of a device, the largest state at its later times within the horizon."""
+    return f"""instants AS (
+  SELECT device_id, event_time, max(occupied) AS state FROM base
+  WHERE device_id IS NOT NULL AND event_time IS NOT NULL GROUP BY device_id, event_time
+),
+lbl AS (
+  SELECT device_id, event_time, max(state) OVER (
+    PARTITION BY device_id ORDER BY event_time
+    RANGE BETWEEN INTERVAL 1 MICROSECOND FOLLOWING AND INTERVAL {minutes} MINUTE FOLLOWING
+  ) AS occ_in_next
+  FROM instants
 )"""
 
 
 def _train_sql(minutes: int) -> str:
     return sql(
         f"""{HISTORY}, {_labels(minutes)},
-        pri AS (SELECT street_marker, hour, dow, avg(occupied) AS prior FROM base GROUP BY ALL)""",
-        """SELECT h.event_id, h.device_id, h.street_marker, h.event_time, h.hour, h.dow,
-          h.is_weekend, h.duration_min, occ_lag1, occ_lag2, occ_roll10_past, dur_roll10_past,
-          coalesce(prior, 0.5) AS street_hour_dow_occ_prior, occ_in_next AS label,
-          percent_rank() OVER (ORDER BY h.event_time) AS pr
-        FROM hist h LEFT JOIN pri USING (street_marker, hour, dow)
-        JOIN lbl ON h.device_id = lbl.device_id AND h.event_time = lbl.event_time
-        WHERE occ_in_next IS NOT NULL""",
+        told AS (SELECT device_id, event_time, occ_in_next FROM lbl WHERE occ_in_next >= 0),
+        rates AS (SELECT DISTINCT street_marker, hour, dow,
+                    avg(occupied) OVER (PARTITION BY street_marker, hour, dow) AS rate FROM base),
+        ready AS (
+          SELECT event_id, device_id, street_marker, event_time, hour, dow, is_weekend, duration_min,
+            occ_lag1, occ_lag2, occ_roll10_past, dur_roll10_past,
+            CASE WHEN rate IS NULL THEN 0.5 ELSE rate END AS street_hour_dow_occ_prior,
+            occ_in_next AS label
+          FROM hist INNER JOIN told USING (device_id, event_time)
+          LEFT JOIN rates USING (street_marker, hour, dow))""",
+        """SELECT *, (rank() OVER (ORDER BY event_time) - 1)
+            / CAST(greatest(count(*) OVER () - 1, 1) AS DOUBLE) AS pr FROM ready""",
         ("duration_min", "occ_roll10_past", "dur_roll10_past", "street_hour_dow_occ_prior", "pr"),
     )
 
@@ -242,6 +263,20 @@ SQL = {
         percent_rank() OVER (ORDER BY date_trunc('hour', event_time)) AS pr FROM sensors""",
         ("pr",),
     ),
+    "time_percent_rank_nulls": sql(
+        f"""{SENSORS},
+        days AS (SELECT event_id, nullif(date_trunc('day', event_time), TIMESTAMP '2024-01-03') AS event_time
+                 FROM sensors)""",
+        """SELECT event_id, event_time, percent_rank() OVER (ORDER BY event_time NULLS FIRST) AS pr FROM days""",
+        ("pr",),
+    ),
+    "quantiles_by_group": sql(
+        SENSORS,
+        """SELECT nullif(street_marker, 'S3') AS street, quantile_cont(duration_min, 0.25) AS q25,
+        quantile_cont(duration_min, 0.5) AS q50, quantile_cont(duration_min, 0.9) AS q90
+        FROM sensors GROUP BY 1""",
+        ("q25", "q50", "q90"),
+    ),
     "class_weights": sql(
         LABELLED,
         """SELECT event_id, label, (SELECT count(*) FROM labelled)

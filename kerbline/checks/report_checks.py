@@ -58,10 +58,10 @@ QUERIES = {
     "violation_by_area": lambda s, d: plain(r.violation_by_area(dated(s, d))),
     "describe_duration": lambda s, d: plain(stats.describe_duration(sensors(s, d))),
     "missing_profile": lambda s, d: plain(
-        stats.missing_profile(loose(s, d).drop("SignPlateID"))
+        stats.missing_profile(loose(s, d))
     ),
     "overview": lambda s, d: stats.overview(loose(s, d), bronze(s, d)),
-    "daily_trend": lambda s, d: plain(r.daily_trend(dated(s, d).filter("day(event_time) % 5 <> 0"))),
+    "daily_trend": lambda s, d: plain(r.daily_trend(dated(s, d))),
     "order_days": lambda s, d: plain(
         r.daily_trend(
             table(s, d, "orders").select(
@@ -248,6 +248,7 @@ SQL = {
         counts AS (
           SELECT count(*) AS n, count(event_id) AS event_id, count("BayId") AS "BayId",
             count("DeviceId") AS "DeviceId", count("StreetMarker") AS "StreetMarker",
+            count(sign_value) AS "SignPlateID",
             count("Status") AS "Status", count("ArrivalTime") AS "ArrivalTime",
             count("DepartureTime") AS "DepartureTime", count("DurationMinutes") AS "DurationMinutes",
             count("VehiclePresent") AS "VehiclePresent", count("AreaName") AS "AreaName",
@@ -265,8 +266,7 @@ SQL = {
     ),
     "daily_trend": sql(
         f"""{DATED},
-        kept AS (SELECT CAST(event_time AS DATE) AS day, occupied FROM dated
-                 WHERE day(event_time) % 5 <> 0)""",
+        kept AS (SELECT CAST(event_time AS DATE) AS day, occupied FROM dated)""",
         """SELECT CAST(g.day AS DATE) AS day, count(kept.day) AS events, avg(occupied) AS occ_rate
         FROM (SELECT unnest(range(min(day), max(day) + INTERVAL 1 DAY, INTERVAL 1 DAY)) AS day
               FROM kept) g

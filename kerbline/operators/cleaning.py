@@ -6,7 +6,7 @@ Every operator takes and gives a DataFrame and adds no shuffle.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from datetime import datetime
+from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -203,7 +203,11 @@ def date_bounds(
     low: datetime = datetime(2000, 1, 1),
     column: str = "event_time",
 ) -> DataFrame:
-    """Keep plausible times. The caller passes the upper bound, normally tomorrow."""
+    """Keep plausible times. The caller passes the upper bound, normally tomorrow.
+
+    Bounds without a zone are UTC, whatever the zone of the driver's process.
+    """
+    low, high = (t if t.tzinfo else t.replace(tzinfo=UTC) for t in (low, high))
     return df.filter(F.col(column).between(F.lit(low), F.lit(high)))
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from kerbline.functions import calendar
 from kerbline.plans.durable import attach, durable
-from kerbline.plans.limits import limit, table_bytes
+from kerbline.plans.limits import distinct_estimate, limit, table_bytes
 from kerbline.plans.quantiles import quantiles
 from kerbline.plans.slices import positions
 

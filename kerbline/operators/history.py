@@ -16,8 +16,13 @@ ORDER = ("event_time", "event_id")
 
 
 def _order(df: DataFrame, order: Sequence[str]) -> list[str]:
-    """The order columns the table has: `event_id` only breaks ties."""
-    return [c for c in order if c in df.columns]
+    """A total order: the order columns the table has, then all others in order of names.
+
+    Rows that still tie are equal, so the values of a frame do not depend on the plan.
+    """
+    given = [c for c in order if c in df.columns]
+    sortable = [f.name for f in df.schema.fields if "map" not in f.dataType.simpleString()]
+    return [*given, *sorted(set(sortable) - set(given))]
 
 
 def silver_history(
@@ -124,18 +129,21 @@ def silver_priors(history: DataFrame, base: DataFrame | None = None) -> DataFram
 def time_percent_rank(df: DataFrame, column: str = "event_time", name: str = "pr") -> DataFrame:
     """Place of each row in time from 0 to 1, equal times equal, over all rows.
 
-    Equal to a global PERCENT_RANK without its single task: the distinct times are counted, put in
-    order across the cluster and joined back.
+    Equal to a global PERCENT_RANK with nulls first, without its single task: the distinct times are
+    counted, put in order across the cluster and joined back. Rows without a time come first.
     """
     timed = df.filter(F.col(column).isNotNull())
+    untimed = df.filter(F.col(column).isNull())
     counts = timed.groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
     ranked = running_sums(counts, [], [column], {"_upto": F.col("_n")})
-    last = timed.agg(F.count(F.lit(1)) - 1).scalar()
+    last = df.agg(F.count(F.lit(1)) - 1).scalar()
+    first = df.agg(F.count_if(F.col(column).isNull())).scalar()
+    place = F.col("_upto") - F.col("_n") + first
     placed = ranked.select(
-        column,
-        F.coalesce((F.col("_upto") - F.col("_n")) / F.nullif(last, F.lit(0)), F.lit(0.0)).alias(name),
+        column, F.coalesce(place / F.nullif(last, F.lit(0)), F.lit(0.0)).alias(name)
     )
-    return timed.join(placed, column)
+    ranks = timed.join(placed, column).select(*df.columns, name)
+    return ranks.unionByName(untimed.withColumn(name, F.lit(0.0)))
 
 
 def train_ready(priors: DataFrame, labels: DataFrame, prior_default: float = 0.5) -> DataFrame:

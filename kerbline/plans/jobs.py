@@ -6,6 +6,7 @@ Run as `python -m kerbline.plans.jobs <job> --help`, or call the functions.
 from __future__ import annotations
 
 import argparse
+import warnings
 from collections.abc import Sequence
 from datetime import UTC, datetime, timedelta
 
@@ -23,11 +24,15 @@ from kerbline.streaming import sinks, windows
 def clean_export(
     spark: SparkSession, export: str, out: str, zone: str, high: datetime, k: int = 7_500
 ) -> None:
-    """Sensor export to balanced sample, cleaned table and narrow model table, as Parquet."""
+    """Sensor export to normalised rows, cleaned table and narrow model table, all rows, as Parquet.
+
+    A balanced sample of `k` rows per status is written beside them; nothing else is made from it.
+    """
     raw = readers.read_raw_csv(spark, export)
-    writers.write_parquet(tables.sample_table(raw, ["DeviceId", "StreetMarker"], k), f"{out}/sample")
-    sample = spark.read.parquet(f"{out}/sample")
-    writers.write_parquet(tables.clean_table(sample, zone, high), f"{out}/clean")
+    writers.write_parquet(tables.all_rows(raw, ["DeviceId", "StreetMarker"]), f"{out}/rows")
+    rows = spark.read.parquet(f"{out}/rows")
+    writers.write_parquet(tables.sample_rows(rows, k), f"{out}/sample")
+    writers.write_parquet(tables.clean_table(rows, zone, high), f"{out}/clean")
     writers.write_parquet(tables.ml_ready(spark.read.parquet(f"{out}/clean")), f"{out}/ml_ready")
 
 
@@ -36,9 +41,15 @@ def prepare_data(spark: SparkSession, clean_csv: str, out: str) -> int:
     return writers.write_parquet(readers.read_clean_csv(spark, clean_csv), out)
 
 
-def build_silver(spark: SparkSession, export: str, out: str, minutes: int = 15) -> None:
-    """Loose export to bronze by date, then train-ready rows."""
-    writers.write_bronze(cleaning.bronze_events(readers.read_loose_csv(spark, export)), f"{out}/bronze")
+def build_silver(
+    spark: SparkSession, export: str, out: str, minutes: int = 15, multi_line: bool = True
+) -> None:
+    """Loose export to bronze by date, then train-ready rows.
+
+    An export without line breaks in fields is read by many tasks with `multi_line` False.
+    """
+    loose = readers.read_loose_csv(spark, export, multi_line)
+    writers.write_bronze(cleaning.bronze_events(loose), f"{out}/bronze")
     made = tables.silver_tables(readers.read_bronze(spark, f"{out}/bronze"), minutes)
     writers.write_parquet(made["train_ready"], f"{out}/train_ready")
 
@@ -56,6 +67,9 @@ def train_and_export(
 
     `key` names a unique column that assigns rows to train or test. Returns the test metrics.
     """
+    absent = [c for c in [*numeric, *categories] if c not in clean.columns]
+    if absent:
+        warnings.warn(f"features the table lacks are left out: {absent}", stacklevel=2)
     numeric = [c for c in numeric if c in clean.columns]
     categories = [c for c in categories if c in clean.columns]
     rows = tables.model_rows(clean, numeric, categories)
@@ -93,15 +107,19 @@ def main(argv: Sequence[str] | None = None) -> None:
         job = jobs.add_parser(name)
         for field in fields:
             job.add_argument(field)
+        if name == "clean":
+            job.add_argument("--sample", type=int, default=7_500, help="rows per status in the sample")
+        if name == "silver":
+            job.add_argument("--single-line", action="store_true", help="no line breaks in fields")
     args = parser.parse_args(argv)
     spark = build_session()
     if args.job == "clean":
-        tomorrow = datetime.now(UTC).replace(tzinfo=None) + timedelta(days=1)
-        clean_export(spark, args.export, args.out, args.zone, tomorrow)
+        tomorrow = datetime.now(UTC) + timedelta(days=1)
+        clean_export(spark, args.export, args.out, args.zone, tomorrow, args.sample)
     elif args.job == "prepare":
         prepare_data(spark, args.clean_csv, args.out)
     elif args.job == "silver":
-        build_silver(spark, args.export, args.out)
+        build_silver(spark, args.export, args.out, multi_line=not args.single_line)
     elif args.job == "train":
         train_and_export(spark.read.parquet(args.clean), args.out, args.key).show()
     else:

@@ -12,6 +12,9 @@ from kerbline.plans.limits import distinct_estimate, limit
 from kerbline.plans.slices import running_sums
 
 
+KEY = "_key"
+
+
 def quantiles(
     df: DataFrame,
     value: str,
@@ -24,8 +27,9 @@ def quantiles(
 
     Values are counted first, which shrinks them before the shuffle. Spark's exact percentile holds
     every distinct value of a key in one task: it takes the counts while the measured number of
-    values is small. Beyond that they are put in order across the cluster and looked up by rank. `accuracy` asks for the approximate sketch instead. `distinct`
-    passes the number on where the caller has measured it.
+    values is small. Beyond that they are put in order across the cluster and looked up by rank.
+    Rows with a null key form groups like others. `accuracy` asks for the approximate sketch
+    instead. `distinct` passes the number on where the caller has measured it.
     """
     number = F.col(value).cast("double").alias("_x")
     known = df.filter(F.col(value).isNotNull()).select(*by, number)
@@ -46,10 +50,13 @@ def _grouped(df: DataFrame, by: Sequence[str]):
 
 
 def _by_rank(counts: DataFrame, probs: Sequence[float], by: Sequence[str]) -> DataFrame:
-    ranked = durable(running_sums(counts.filter(_all_known(by)), by, ["_x"], {"_upto": F.col("_n")}))
-    totals = _grouped(ranked, by).agg(F.max("_upto").alias("_all"))
+    # A key as text is never null, so groups with nulls in their key stay.
+    key = [KEY] if by else []
+    keyed = counts.withColumn(KEY, F.to_json(F.struct(*by), {"ignoreNullFields": "false"})) if by else counts
+    ranked = durable(running_sums(keyed, key, ["_x"], {"_upto": F.col("_n")}))
+    totals = _grouped(ranked, key).agg(F.max("_upto").alias("_all"))
     if by:
-        ranked = attach(ranked, totals, list(by), "inner")
+        ranked = attach(ranked, totals, key, "inner")
     else:
         ranked = ranked.withColumn("_all", totals.scalar())
 
@@ -64,16 +71,9 @@ def _by_rank(counts: DataFrame, probs: Sequence[float], by: Sequence[str]) -> Da
             F.max(F.when(holds(F.ceil(place)), F.col("_x"))).alias(f"_hi{i}"),
             F.max(place - F.floor(place)).alias(f"_f{i}"),
         ]
-    found = _grouped(ranked, by).agg(*picks)
+    found = _grouped(ranked, key).agg(*[F.first(name).alias(name) for name in by], *picks)
     between = [
         F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_f{i}")
         for i in range(len(probs))
     ]
     return found.select(*by, F.array(*between).alias("q"))
-
-
-def _all_known(by: Sequence[str]):
-    known = F.lit(True)
-    for name in by:
-        known = known & F.col(name).isNotNull()
-    return known

@@ -16,7 +16,8 @@ from kerbline.schemas import CLEAN, SAMPLE
 def normalised(raw: DataFrame, order: list[str]) -> DataFrame:
     """Raw sensor rows typed, filtered, with calendar features and without copies.
 
-    `order` says which of several rows of one bay, arrival and departure stays.
+    `order` says which of several rows of one bay, arrival and departure stays; all other columns
+    break ties, so the choice is repeatable.
     """
     timed = cleaning.parse_times(raw, ["ArrivalTime", "DepartureTime"])
     measured = cleaning.duration_units(timed, "DurationMinutes")
@@ -37,17 +38,29 @@ def normalised(raw: DataFrame, order: list[str]) -> DataFrame:
             "PartOfDay": calendar.part_of_day(F.hour(when)),
         }
     )
-    return sampling.dedup_events(rich, ["BayId", "ArrivalTime", "DepartureTime"], order)
+    keys = ["BayId", "ArrivalTime", "DepartureTime"]
+    rest = sorted(set(rich.columns) - set(keys) - set(order))
+    return sampling.dedup_events(rich, keys, [*order, *rest])
 
 
-def sample_table(raw: DataFrame, order: list[str], k: int = 7_500, seed: int = 42) -> DataFrame:
-    """Balanced sample by status: up to `k` rows of each, in the order of the sample schema."""
-    rows = normalised(raw, order).withColumn(
+def all_rows(raw: DataFrame, order: list[str]) -> DataFrame:
+    """All normalised rows, in the order of the sample schema."""
+    return cleaning.keep_columns(normalised(raw, order), SAMPLE.fieldNames())
+
+
+def sample_rows(rows: DataFrame, k: int = 7_500, seed: int = 42) -> DataFrame:
+    """Balanced sample by status of stored normalised rows: up to `k` of each."""
+    keyed = rows.withColumn(
         "_key", F.concat_ws("|", "BayId", F.unix_micros("ArrivalTime"), F.unix_micros("DepartureTime"))
     )
-    # the sample reads the rows three times
-    picked = sampling.balanced_sample(durable(rows), "Status", k, "_key", seed)
-    return cleaning.keep_columns(picked, SAMPLE.fieldNames())
+    return cleaning.keep_columns(
+        sampling.balanced_sample(keyed, "Status", k, "_key", seed), SAMPLE.fieldNames()
+    )
+
+
+def sample_table(raw: DataFrame, order: list[str], k: int = 7_500, seed: int = 42) -> DataFrame:
+    """Balanced sample by status of raw rows; the sample reads the normalised rows three times."""
+    return sample_rows(durable(all_rows(raw, order)), k, seed)
 
 
 def clean_table(sample: DataFrame, zone: str, high: datetime) -> DataFrame:
@@ -93,6 +106,8 @@ def clean_table(sample: DataFrame, zone: str, high: datetime) -> DataFrame:
     )
     order = ["_event_time", depart, *[c for c in ("BayId",) if c in rows.columns]]
     rows = history.rolling_occ(rows, 10, by=[device], order=order)
+    # Training must not see the row's own state.
+    rows = history.rolling_occ(rows, 10, by=[device], order=order, past_only=True)
     return history.arrivals_n(rows, 10, by=[device], order=order)
 
 

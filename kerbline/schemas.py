@@ -73,7 +73,7 @@ IMPORTANCES = _schema("feature string, importance double")
 NUMERIC_FEATURES = [
     "Hour", "DayOfWeek", "IsWeekend", "Month", "DayOfMonth", "DwellMinutes", "InViolation",
     "_duration_min", "_hour", "_dow", "_is_weekend", "_duration_min_w",
-    "_duration_robust_z", "rolling_occ_N10", "arrivals_N10",
+    "_duration_robust_z", "rolling_occ_past10", "arrivals_N10",
 ]
 CATEGORY_FEATURES = [
     "PartOfDay", "AreaName", "SideName", "SideOfStreetCode",

@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kerbline import schemas
 from kerbline.operators.cleaning import parse_event_times
 
 # Encodings of the event export that Spark's CSV reader takes. Windows Latin text is
-# read as ISO Latin 1, which agrees on all printable characters of the export.
+# read as ISO Latin 1, then the 32 codes on which the two differ are mapped.
 ENCODINGS = {"utf-8-sig": "UTF-8", "cp1252": "ISO-8859-1"}
+WINDOWS = {chr(c): bytes([c]).decode("cp1252", "ignore") or chr(c) for c in range(0x80, 0xA0)}
 
 
 def read_clean_csv(spark: SparkSession, path: str, schema: T.StructType = schemas.CLEAN) -> DataFrame:
@@ -49,13 +51,17 @@ def read_raw_csv(spark: SparkSession, path: str, columns: list[str] | None = Non
 
 def read_events_csv(spark: SparkSession, path: str, encoding: str = "utf-8-sig") -> DataFrame:
     """Event export with records ended by any of CR, LF, CRLF and empty columns at the end."""
-    return (
+    rows = (
         spark.read.schema(schemas.EVENTS_CSV)
         .option("header", True)
         .option("enforceSchema", True)
         .option("encoding", ENCODINGS.get(encoding, encoding))
         .csv(path)
     )
+    if encoding != "cp1252":
+        return rows
+    mapped = [F.translate(c, "".join(WINDOWS), "".join(WINDOWS.values())).alias(c) for c in rows.columns]
+    return rows.select(*mapped)
 
 
 def read_events_json(spark: SparkSession, path: str) -> DataFrame:

@@ -1,5 +1,7 @@
 """Cleaning operators on hand-made edge rows."""
 
+import os
+import time
 from datetime import datetime
 
 import pytest
@@ -142,3 +144,18 @@ def test_label_columns(spark):
     with pytest.raises(ValueError):
         c.rename_label(df.drop("target_occupied"))
     assert c.require_not_null(out, ["z"]).isEmpty()
+
+
+def test_date_bounds_do_not_depend_on_the_process_zone(spark):
+    df = spark.sql("SELECT TIMESTAMP'2000-01-01 00:00:00' AS event_time")
+    before = os.environ.get("TZ")
+    try:
+        os.environ["TZ"] = "America/New_York"
+        time.tzset()
+        assert c.date_bounds(df, datetime(2001, 1, 1)).count() == 1
+    finally:
+        if before is None:
+            os.environ.pop("TZ")
+        else:
+            os.environ["TZ"] = before
+        time.tzset()

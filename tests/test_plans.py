@@ -5,9 +5,10 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
-from conftest import rows
+from conftest import at, rows
 from pyspark.sql import functions as F
 
+from kerbline.operators import history
 from kerbline.plans.durable import attach
 from kerbline.plans.quantiles import quantiles
 from kerbline.plans.slices import SEQ, SLICE, ordered_frames, positions, running_sums, slice_rows
@@ -138,3 +139,31 @@ def test_attach_by_broadcast_or_shuffle(skewed, both_plans):
     sizes = Counter(r[0] for r in data)
     assert {(r.device, r.n) for r in joined.collect()} == set(sizes.items())
     assert joined.count() == 3000
+
+
+def test_quantiles_keep_null_groups(spark, both_plans):
+    df = spark.createDataFrame(
+        [("a", 1.0), ("a", 3.0), (None, 5.0), (None, 7.0), ("b", None)], "k string, v double"
+    )
+    found = {r.k: r.q for r in quantiles(df, "v", [0.5], ["k"]).collect()}
+    assert found == {"a": [2.0], None: [6.0]}
+
+
+def test_frames_do_not_depend_on_the_plan_under_ties(spark, both_plans):
+    tied = spark.createDataFrame(
+        [("d", at("2024-01-01T00:00:00"), i % 2, float(i)) for i in range(40)],
+        "device_id string, event_time timestamp, occupied int, duration_min double",
+    )
+    found = history.silver_history(tied.repartition(5)).collect()
+    lags = {r.duration_min: r.occ_lag1 for r in found}
+    order = sorted(lags, key=lambda v: (v, v % 2))
+    assert [lags[v] for v in order] == [None, *[int(v) % 2 for v in order[:-1]]]
+
+
+def test_percent_rank_keeps_rows_without_time(spark, both_plans):
+    df = spark.createDataFrame(
+        [(1, at("2024-01-01T00:00:00")), (2, None), (3, at("2024-01-02T00:00:00"))],
+        "event_id long, event_time timestamp",
+    )
+    found = {r.event_id: r.pr for r in history.time_percent_rank(df).collect()}
+    assert found == {1: 0.5, 2: 0.0, 3: 1.0}

@@ -34,6 +34,9 @@ def test_events_csv_in_windows_latin(spark, tmp_path):
     path.write_bytes("DeviceId,StreetMarker,_event_time,_occupied\n1,Caf\xe9,t,0\n".encode("latin-1"))
     df = readers.read_events_csv(spark, str(path), "cp1252")
     assert df.first().StreetMarker == "Café"
+    path.write_bytes(b"DeviceId,StreetMarker,_event_time,_occupied\n1,O\x92Hare \x80,t,0\n")
+    df = readers.read_events_csv(spark, str(path), "cp1252")
+    assert df.first().StreetMarker == "O’Hare €"
 
 
 def test_json_events_skip_bad_times(spark, tmp_path):

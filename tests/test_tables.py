@@ -60,7 +60,7 @@ def test_sample_is_balanced_and_typed(sample):
 
 
 def test_clean_table_columns_and_values(spark, sample, clean):
-    assert set(clean.columns) == set(schemas.CLEAN.fieldNames())
+    assert set(clean.columns) == {*schemas.CLEAN.fieldNames(), "rolling_occ_past10"}
     assert clean.count() == sample.count()
     row = clean.orderBy("_event_time").first()
     first = sample.orderBy("ArrivalTime").first()
