@@ -16,7 +16,7 @@ order of input.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -115,22 +115,26 @@ def _rows(pieces: list, length: int, kind: str, pad: int, id_kind: pa.DataType)
 
 def pack(
     docs: DataFrame,
-    ids: Column,
+    source: Column,
     length: int = LENGTH,
     kind: str = KIND,
     pad: int = PAD,
     group: int = GROUP,
+    tokenise: Callable[[str | bytes | None], np.ndarray] | None = None,
 ) -> DataFrame:
     """Packed rows of all documents: pack_id, input_ids (`length` ids of `kind`), n_tokens, cu_seqlens,
-    position_resets, doc_ids, doc_offsets. `ids` is a binary column of packed ids, `docs` has doc_id.
+    position_resets, doc_ids, doc_offsets.
+
+    `docs` has doc_id. `source` is a binary column of packed ids, or what `tokenise` makes ids of one
+    value at a time.
     """
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces, held = [], 0
         for batch in batches:
             id_kind = batch.schema.field("doc_id").type
-            for doc, data in zip(batch["doc_id"].to_pylist(), batch["ids"], strict=True):
-                tokens = np.frombuffer(data.as_buffer() or b"", kind)
+            for doc, data in zip(batch["doc_id"].to_pylist(), batch["source"], strict=True):
+                tokens = tokenise(data.as_py()) if tokenise else np.frombuffer(data.as_py() or b"", kind)
                 for at in range(0, len(tokens), length):
                     pieces.append((doc, at, tokens[at : at + length]))
                 held += len(tokens)
@@ -141,7 +145,7 @@ def pack(
             yield _rows(pieces, length, kind, pad, id_kind)
 
     doc_kind = docs.schema["doc_id"].dataType.simpleString()
-    packed = docs.select("doc_id", ids.alias("ids")).mapInArrow(
+    packed = docs.select("doc_id", source.alias("source")).mapInArrow(
         over,
         "input_ids binary, n_tokens int, cu_seqlens array<int>, position_resets array<int>, "
         f"doc_ids array<{doc_kind}>, doc_offsets array<long>",
@@ -182,20 +186,16 @@ def write(packed: DataFrame, path: str) -> None:
     packed.write.option("compression", "zstd").parquet(path)
 
 
-def byte_ids(text: Column) -> Column:
-    """Byte-level ids of a text, packed as 16-bit: every UTF-8 byte plus 3, then the end id 1."""
-
-    def over(column: pa.Array) -> pa.Array:
-        made = (
-            np.append(np.frombuffer((t or "").encode(), np.uint8).astype(KIND) + SHIFT, END).astype(KIND).tobytes()
-            for t in column.to_pylist()
-        )
-        return pa.array(made, pa.binary())
-
-    return F.arrow_udf(over, "binary")(text)
+def byte_ids(text: str | None) -> np.ndarray:
+    """Byte-level ids of a text, 16 bits wide: every UTF-8 byte plus 3, then the end id 1."""
+    data = np.frombuffer((text or "").encode(), np.uint8)
+    ids = np.empty(len(data) + 1, KIND)
+    np.add(data, SHIFT, out=ids[:-1], dtype=KIND)
+    ids[-1] = END
+    return ids
 
 
 def query(spark: SparkSession, folder: str) -> DataFrame:
     """All documents, as byte-level ids, in packed rows."""
     docs = spark.read.parquet(f"{folder}/documents.parquet")
-    return pack(docs, byte_ids(F.col("text")))
+    return pack(docs, F.col("text"), tokenise=byte_ids)

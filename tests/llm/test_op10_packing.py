@@ -78,7 +78,7 @@ def test_edges(spark):
 
 def test_written_files(spark, tmp_path):
     docs = spark.createDataFrame([(1, "ab"), (2, "")], "doc_id int, text string")
-    op.write(op.pack(docs, op.byte_ids(F.col("text"))), str(tmp_path / "p"))
+    op.write(op.pack(docs, F.col("text"), tokenise=op.byte_ids), str(tmp_path / "p"))
     assert restored(spark.read.parquet(str(tmp_path / "p"))) == {
         1: np.array([100, 101, 1], "<u2").tobytes(), 2: np.array([1], "<u2").tobytes()
     }
