@@ -10,7 +10,10 @@ import warnings
 from collections.abc import Sequence
 from datetime import UTC, datetime, timedelta
 
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from kerbline import schemas
 from kerbline.operators import cleaning, ml, sampling
@@ -84,10 +87,28 @@ def train_and_export(
         ml.score(best, ready, [*numeric, *categories], probability="rf_prob"), f"{out}/predictions"
     )
     writers.write_csv(ml.importances(best, clean, names), f"{out}/feature_importances")
-    writers.save_model(best, f"{out}/model")
+    # One model from cleaned rows to predictions: indexes, scaling and forest together.
+    writers.save_model(PipelineModel([*stages.stages, best]), f"{out}/model")
     return ml.evaluate(best.transform(ready))
 
 
+def score_export(clean: DataFrame, model: str, out: str, keep: Sequence[str] = ()) -> int:
+    """Predictions of a saved model for cleaned rows, with the columns to keep; returns their number.
+
+    Rows with a null in a feature cannot be scored and are left out, as in training.
+    """
+    whole = PipelineModel.load(model)
+    wanted = whole.stages[0].getInputCols() if whole.stages[0].hasParam("inputCols") else []
+    numeric = [c for s in whole.stages if isinstance(s, VectorAssembler) for c in s.getInputCols()]
+    features = [c for c in dict.fromkeys([*wanted, *numeric]) if c in clean.columns]
+    rows = clean.dropna(subset=features)
+    flags = {c: F.col(c).cast("double") for c, kind in rows.dtypes if kind == "boolean" and c in features}
+    scored = whole.transform(rows.withColumns(flags))
+    return writers.write_parquet(
+        scored.select(*keep, "prediction", ml.prob1("rf_prob").alias("prob_occupied")), out
+    )
+
+
 def stream_windows(spark: SparkSession, source: str, out: str, state: str, once: bool = False):
     """Event files to window occupancy; runs until stopped unless `once`."""
     stream = windows.window_occupancy(windows.stream_events(spark, source))
@@ -102,6 +123,7 @@ def main(argv: Sequence[str] | None = None) -> None:
         "prepare": ("clean_csv", "out"),
         "silver": ("export", "out"),
         "train": ("clean", "out", "key"),
+        "score": ("clean", "model", "out"),
         "stream": ("source", "out", "state"),
     }.items():
         job = jobs.add_parser(name)
@@ -122,6 +144,8 @@ def main(argv: Sequence[str] | None = None) -> None:
         build_silver(spark, args.export, args.out, multi_line=not args.single_line)
     elif args.job == "train":
         train_and_export(spark.read.parquet(args.clean), args.out, args.key).show()
+    elif args.job == "score":
+        score_export(spark.read.parquet(args.clean), args.model, args.out)
     else:
         stream_windows(spark, args.source, args.out, args.state).awaitTermination()
 

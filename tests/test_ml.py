@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from kerbline.functions.hashing import fraction
 from kerbline.operators import ml
 from kerbline.operators.sampling import parts, random_split
-from kerbline.plans.jobs import train_and_export
+from kerbline.plans.jobs import score_export, train_and_export
 from kerbline.sources.writers import save_model
 
 NUMERIC, CATEGORIES = ["hour", "minutes"], ["street"]
@@ -130,4 +130,10 @@ def test_export_job(spark, tmp_path):
         str(tmp_path / "feature_importances")
     )
     assert found.count() == 3
-    assert (tmp_path / "model").exists()
+    # The saved model scores cleaned rows by itself, as the test rows were scored.
+    assert score_export(clean, str(tmp_path / "model"), str(tmp_path / "scored"), ["row"]) == clean.count()
+    scored = spark.read.parquet(str(tmp_path / "scored"))
+    assert scored.columns == ["row", "prediction", "prob_occupied"]
+    both = scored.select(F.round("prob_occupied", 6).alias("p")).distinct()
+    trained = preds.select(F.round(F.col("prob_occupied").cast("double"), 6).alias("p")).distinct()
+    assert {x.p for x in trained.collect()} <= {x.p for x in both.collect()}
