@@ -18,6 +18,7 @@ given. Between languages of equal probability the first name wins.
 from __future__ import annotations
 
 import functools
+import hashlib
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -40,8 +41,8 @@ BEGIN = "▁"
 LETTERS = re.compile(r"[^\W\d_]+")
 #: Longer words are scored one by one, with rescaling against underflow.
 LONG = 30
-#: Distinct words scored at once, and those a task remembers.
-BLOCK, REMEMBERED = 20_000, 400_000
+#: Distinct words scored at once, those a worker remembers, and texts handled at once.
+BLOCK, REMEMBERED, TEXTS = 20_000, 400_000, 256
 
 
 class Pieces:
@@ -260,37 +261,63 @@ def train(docs: DataFrame, rounds: int = ROUNDS, path: str = PIECES) -> Model:
     return model
 
 
+class Remembered:
+    """Log probabilities of the words a worker has met, for the model it used last."""
+
+    def __init__(self):
+        self.mark: bytes = b""
+        self._clear(0)
+
+    def _clear(self, languages: int) -> None:
+        self.known: dict[str, int] = {}
+        self.logs = np.zeros((REMEMBERED, languages))
+        self.lettered = np.zeros(REMEMBERED, bool)
+
+    def rows(self, texts: list[list[str]], table: np.ndarray, held: Pieces, mark: bytes) -> list[np.ndarray]:
+        """For each text, the rows of its words in `logs`."""
+        wanted = dict.fromkeys(w for t in texts for w in t)
+        fresh = [w for w in wanted if w not in self.known]
+        if mark != self.mark or len(self.known) + len(fresh) > len(self.logs):
+            self._clear(table.shape[1])
+            self.mark, fresh = mark, list(wanted)
+            if len(fresh) > len(self.logs):
+                self.logs, self.lettered = np.zeros((len(fresh), table.shape[1])), np.zeros(len(fresh), bool)
+        begin = len(self.known)
+        plain = [spelled(w) for w in fresh]
+        self.logs[begin : begin + len(fresh)] = log_probabilities(held, plain, table)
+        self.lettered[begin : begin + len(fresh)] = [len(w) > 0 for w in plain]
+        self.known.update(zip(fresh, range(begin, begin + len(fresh)), strict=True))
+        find = self.known.__getitem__
+        return [np.fromiter(map(find, t), np.int64, len(t)) for t in texts]
+
+
+_remembered = Remembered()
+
+
+def _verdicts(texts: list[str | None], model: Model, mark: bytes) -> Iterator[tuple[str, float]]:
+    words = [LETTERS.findall((t or "").lower()) for t in texts]
+    for at in _remembered.rows(words, model.table, pieces(model.path), mark):
+        if not model.languages or not _remembered.lettered[at].any():
+            yield "und", 0.0
+            continue
+        total = _remembered.logs[at].sum(axis=0)
+        best = int(total.argmax())
+        yield model.languages[best], float(1.0 / np.exp(total - total[best]).sum())
+
+
 def identified(text: Column, model: Model) -> Column:
     """Struct of lang_pred and score for a text column."""
-    languages, table, path = model.languages, model.table, model.path
-
-    def over(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        held = pieces(path)
-        known: dict[str, int] = {}
-        logs = np.zeros((0, len(languages)))
-        lettered = np.zeros(0, bool)
-        for column in columns:
-            if len(known) > REMEMBERED:
-                known, logs, lettered = {}, logs[:0], lettered[:0]
-            texts = [LETTERS.findall((t or "").lower()) for t in column.to_pylist()]
-            fresh = [w for w in dict.fromkeys(w for t in texts for w in t) if w not in known]
-            known.update(zip(fresh, range(len(known), len(known) + len(fresh)), strict=True))
-            plain = [spelled(w) for w in fresh]
-            logs = np.concatenate([logs, log_probabilities(held, plain, table)])
-            lettered = np.concatenate([lettered, np.array([len(w) > 0 for w in plain], bool)])
-            names, scores = [], []
-            for words in texts:
-                at = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
-                if not languages or not lettered[at].any():
-                    names.append("und"), scores.append(0.0)
-                    continue
-                total = logs[at].sum(axis=0)
-                best = int(total.argmax())
-                names.append(languages[best])
-                scores.append(float(1.0 / np.exp(total - total[best]).sum()))
-            yield pa.StructArray.from_arrays(
-                [pa.array(names, pa.string()), pa.array(scores, pa.float64())], ["lang_pred", "score"]
-            )
+    mark = hashlib.blake2b(model.table.tobytes()).digest() + repr(model.languages).encode()
+
+    def over(column: pa.Array) -> pa.Array:
+        names, scores = [], []
+        for at in range(0, len(column), TEXTS):
+            for name, score in _verdicts(column.slice(at, TEXTS).to_pylist(), model, mark):
+                names.append(name)
+                scores.append(score)
+        return pa.StructArray.from_arrays(
+            [pa.array(names, pa.string()), pa.array(scores, pa.float64())], ["lang_pred", "score"]
+        )
 
     return F.arrow_udf(over, "lang_pred string, score double")(text)
 
