@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as driver
+from kerbline.checks import registry
 
 FOLDER = os.environ.get("KERBLINE_TABLES", "/root/testdata/sf0.001")
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
@@ -37,7 +38,7 @@ def test_entry(spark):
     assert driver.entry(spark).count() == 24
 
 
-@pytest.mark.parametrize("name", sorted(driver.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
 def test_query_equals_sql(spark, duck, name):
     df = driver.queries()[name](spark, FOLDER)
     found = duck.sql(driver.oracle_sql()[name])
