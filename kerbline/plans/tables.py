@@ -131,6 +131,9 @@ def model_rows(clean: DataFrame, numeric: list[str], categories: list[str]) -> D
     Features the table lacks are left out; `stats.quality_report` lists them.
     """
     labelled = cleaning.drop_leaky(cleaning.rename_label(clean))
+    if "rolling_occ_past10" in labelled.columns:
+        # A device's first event has no past; it stays, as likely occupied as not.
+        labelled = labelled.fillna(0.5, ["rolling_occ_past10"])
     wanted = ["label", *[c for c in [*numeric, *categories] if c in labelled.columns]]
     return cleaning.cast_label(cleaning.require_not_null(labelled, wanted))
 
