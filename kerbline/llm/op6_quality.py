@@ -4,9 +4,11 @@ Symbols are the bytes of a text's words in lower case (A-Z), joined by one space
 words. Texts are dealt to two halves by a digest, copies to the same half, and each half is judged by the
 model of the other: no text vouches for itself. Spark counts the 5-grams of all texts. All further numbers are sums over distinct n-grams and stay
 in Spark: continuation counts for the lower orders, the three discounts of each order, and each
-context's weight for the next lower order. The model is stored, order by order, as sorted arrays of n-gram
-hashes with their values, and looked up by binary search. A hash has 22 bits, so the arrays have a size
-bound (400 MB for both, mostly far less) and can go to every task whatever the corpus.
+context's weight for the next lower order. N-grams are kept whole (40 bits), so a lookup is exact whatever
+the corpus. There are two plans with equal results. Up to `spark.kerbline.modelRows` distinct n-grams the
+model goes to every task as sorted arrays, looked up by binary search. A larger one stays in Spark: the
+probability of each distinct 5-gram of the texts is joined together order by order, and joined to blocks
+of texts by the distinct 5-grams of a block. No key has more than 256 rows there, or one for each block.
 
 A text's score is its mean negative log probability per byte. Each language has a band around the middle
 half of its texts: quartiles minus and plus three times their distance, and more for a text of few words,
@@ -20,20 +22,26 @@ Null texts have no words. Texts with fewer than 20 words, or with over 30 % of t
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, field
+from itertools import count as numbers
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from kerbline.llm import words as W
 from kerbline.plans.durable import attach, durable
+from kerbline.plans.limits import limit
 
 NAME = "op6_quality"
 ORDER = 5
-BITS = 22
 WINDOW = 8
+#: Bytes of text in a block that is joined with its probabilities.
+BLOCK = 2 * W.SLICE
 LEAST_WORDS = 20
 MOST_REPEATED = 30  # per cent
 #: Width of the bands in quartile distances, and the steps of the histogram the quartiles come from.
@@ -129,15 +137,8 @@ def _discounts(grams: DataFrame) -> list[list[float]]:
     return out
 
 
-def slots(codes: np.ndarray, order: int) -> np.ndarray:
-    """Hash of packed n-grams of one order, BITS wide; two bytes or fewer are their own hash."""
-    if 8 * order <= BITS:
-        return codes.astype(np.int64)
-    return (W.mix(codes + np.uint64(order << 56)) >> np.uint64(64 - BITS)).astype(np.int64)
-
-
 class Model:
-    """For each order, sorted hashes and values: shares of n-grams, and weights of contexts."""
+    """For each order, sorted n-grams and values: shares of n-grams, and weights of contexts."""
 
     def __init__(self):
         self.shares: list[tuple[np.ndarray, np.ndarray]] = []
@@ -145,25 +146,21 @@ class Model:
         self.bottom = 1.0
 
     @staticmethod
-    def arrays(codes: np.ndarray, values: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
-        """Sorted hashes with values; of n-grams that share a hash the largest value counts."""
-        hashes = slots(codes.view(np.uint64), order)
-        ranked = np.lexsort((-values, hashes))
-        hashes, values = hashes[ranked], values[ranked]
-        first = np.concatenate([[True], hashes[1:] != hashes[:-1]]) if len(hashes) else np.zeros(0, bool)
-        return hashes[first].astype(np.int32), values[first].astype(np.float32)
+    def arrays(codes: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Packed n-grams of one order in order, with their values."""
+        ranked = np.argsort(codes)
+        return codes[ranked].view(np.uint64), values[ranked].astype(np.float32)
 
     @staticmethod
-    def look(arrays: tuple[np.ndarray, np.ndarray], codes: np.ndarray, order: int, absent: float) -> np.ndarray:
+    def look(arrays: tuple[np.ndarray, np.ndarray], codes: np.ndarray, absent: float) -> np.ndarray:
         keys, values = arrays
         if not len(keys):
             return np.full(len(codes), absent)
-        asked = slots(codes, order).astype(np.int32)
-        ranked = np.argsort(asked)
-        at = np.minimum(np.searchsorted(keys, asked[ranked]), len(keys) - 1)
-        found = np.where(keys[at] == asked[ranked], values[at], absent)
+        ranked = np.argsort(codes)
+        asked = codes[ranked]
+        at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
         out = np.empty(len(codes))
-        out[ranked] = found
+        out[ranked] = np.where(keys[at] == asked, values[at], absent)
         return out
 
     def log_probabilities(self, codes: np.ndarray) -> np.ndarray:
@@ -172,13 +169,27 @@ class Model:
         for order in range(1, ORDER + 1):
             gram = codes & np.uint64(2 ** (8 * order) - 1)
             if order > 1:
-                p *= self.look(self.weights[order - 1], gram >> np.uint64(8), order - 1, 1.0)
-            p += self.look(self.shares[order - 1], gram, order, 0.0)
+                p *= self.look(self.weights[order - 1], gram >> np.uint64(8), 1.0)
+            p += self.look(self.shares[order - 1], gram, 0.0)
         return np.log(p)
 
 
-def train(docs: DataFrame) -> list[Model]:
-    """The models that judge each half. What is fetched has a size bound: 2**BITS slots for each order."""
+@dataclass
+class Tables:
+    """The models of both halves, order by order: shares (half, gram, share), weights (half, gram, weight).
+
+    The gram of a weight is a context. `grams` has the counted 5-grams, `rows` is how many n-grams there are.
+    """
+
+    grams: DataFrame
+    rows: int
+    shares: list[DataFrame] = field(default_factory=list)
+    weights: list[DataFrame | None] = field(default_factory=list)
+    bottoms: list[float] = field(default_factory=lambda: [1.0, 1.0])
+
+
+def tables(docs: DataFrame) -> Tables:
+    """Shares and weights of all n-grams; the half of a row is the half that it helps to judge."""
     grams = durable(count_grams(docs))
     orders = {ORDER: grams}
     for order in range(ORDER - 1, 0, -1):
@@ -187,7 +198,7 @@ def train(docs: DataFrame) -> list[Model]:
         orders[order] = durable(
             orders[order + 1].groupBy("half", shorter.alias("gram")).agg(F.count(F.lit(1)).alias("n"))
         )
-    models = [Model(), Model()]
+    out = Tables(grams, sum(found.count() for found in orders.values()))
     for order in range(1, ORDER + 1):
         found = orders[order]
         cuts = F.array(*[F.array(*map(F.lit, cut)) for cut in _discounts(found)])
@@ -196,49 +207,68 @@ def train(docs: DataFrame) -> list[Model]:
         contexts = held.groupBy("half", "context").agg(
             F.sum("n").alias("total"), (F.sum("cut") / F.sum("n")).alias("weight")
         )
-        shares = attach(held, contexts, ["half", "context"]).select(
-            "half", "gram", ((F.col("n") - F.col("cut")) / F.col("total")).alias("share")
-        )
-        for model, arrays in zip(models, _fetched(shares, "gram", "share", order), strict=True):
-            model.shares.append(arrays)
+        share = ((F.col("n") - F.col("cut")) / F.col("total")).cast("float").alias("share")
+        out.shares.append(attach(held, contexts, ["half", "context"]).select("half", "gram", share))
         if order > 1:
-            for model, arrays in zip(models, _fetched(contexts, "context", "weight", order - 1), strict=True):
-                model.weights.append(arrays)
+            weight = F.col("weight").cast("float").alias("weight")
+            out.weights.append(contexts.select("half", F.col("context").alias("gram"), weight))
         else:
+            out.weights.append(None)
             for row in contexts.collect():  # two rows
-                models[row.half].bottom = row.weight
-            for model in models:
-                model.weights.append((np.zeros(0, np.int32), np.zeros(0, np.float32)))
+                out.bottoms[row.half] = row.weight
+    return out
+
+
+def train(docs: DataFrame) -> list[Model]:
+    """The models that judge each half, as arrays of all their n-grams."""
+    return _fetched(tables(docs))
+
+
+def _fetched(held: Tables) -> list[Model]:
+    models = [Model(), Model()]
+    for model, bottom in zip(models, held.bottoms, strict=True):
+        model.bottom = bottom
+    for shares, weights in zip(held.shares, held.weights, strict=True):
+        for name, table in (("shares", shares), ("weights", weights)):
+            if table is None:
+                arrays = [(np.zeros(0, np.uint64), np.zeros(0, np.float32))] * 2
+            else:
+                found = table.toArrow()
+                halves, codes, values = (found[c].to_numpy() for c in range(3))
+                arrays = [Model.arrays(codes[halves == half], values[halves == half]) for half in (0, 1)]
+            for model, own in zip(models, arrays, strict=True):
+                getattr(model, name).append(own)
     return models
 
 
-def _fetched(table: DataFrame, key: str, value: str, order: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """One array pair of each model; hashing happens in tasks, so at most 2**BITS rows a model are fetched."""
+def probabilities(held: Tables, grams: DataFrame) -> dict[int, DataFrame]:
+    """Probability of the last byte of 5-grams (half, gram; each once): half, gram, p, for every order.
 
-    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            halves, codes, values = (batch[c].to_numpy() for c in ("half", key, value))
-            for half in (0, 1):
-                own = halves == half
-                slot, best = Model.arrays(codes[own], values[own], order)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(slot), half, np.int32)), pa.array(slot), pa.array(best)],
-                    ["half", "slot", "value"],
-                )
+    The same sums as in Model.log_probabilities, in the same order, by joins.
+    """
+    asked, out = {ORDER: grams}, {}
 
-    found = (
-        table.select("half", key, value)
-        .mapInArrow(hashed, "half int, slot int, value float")
-        .groupBy("half", "slot")
-        .agg(F.max("value").alias("value"))
-        .toArrow()
-    )
-    halves, slot, best = (found[c].to_numpy() for c in ("half", "slot", "value"))
-    out = []
-    for half in (0, 1):
-        own = np.flatnonzero(halves == half)
-        own = own[np.argsort(slot[own])]
-        out.append((slot[own], best[own]))
+    def shorter(order: int) -> Column:
+        return F.col("gram").bitwiseAND(2 ** (8 * order) - 1)
+
+    for order in range(ORDER - 1, 0, -1):
+        asked[order] = durable(asked[order + 1].select("half", shorter(order).alias("gram")).distinct())
+    bottoms = F.array(*[F.lit(bottom / 256) for bottom in held.bottoms])
+    lower = None
+    for order in range(1, ORDER + 1):
+        found = asked[order].join(held.shares[order - 1], ["half", "gram"], "left")
+        share = F.coalesce(F.col("share").cast("double"), F.lit(0.0))
+        if lower is None:
+            p = F.get(bottoms, F.col("half")) + share
+        else:
+            weights = held.weights[order - 1].withColumnRenamed("gram", "context")
+            found = (
+                found.withColumns({"context": F.shiftright("gram", 8), "shorter": shorter(order - 1)})
+                .join(weights, ["half", "context"], "left")
+                .join(lower.select("half", F.col("gram").alias("shorter"), "p"), ["half", "shorter"])
+            )
+            p = F.col("p") * F.coalesce(F.col("weight").cast("double"), F.lit(1.0)) + share
+        lower = out[order] = durable(found.select("half", "gram", p.alias("p")))
     return out
 
 
@@ -271,30 +301,23 @@ def _duplicate_lines(text: bytes) -> int:
 
 
 MEASURES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, nats double"
+NAMES = [m.split()[0] for m in MEASURES.split(", ")]
 
 
-def measures(text: Column, models) -> Column:
-    """Struct of the base numbers of a text and `nats`, its mean loss per byte (null without words).
+def _measured(column: pa.Array, logs: Callable[[np.ndarray], np.ndarray]) -> list[pa.Array]:
+    """The measures of a column of texts; `logs` gives log probabilities of 5-grams marked by their half."""
 
-    `models` is a broadcast pair of models.
-    """
-
-    def one(column: pa.Array) -> Iterator[np.ndarray]:
+    def one() -> Iterator[tuple]:
         for _, _, data, offsets, texts in _texts(column):
             found = W.find(data, offsets, W.SPACED)
             chars = np.concatenate([[0], np.cumsum(((data & 0xC0) != 0x80) & W.SPACED[data])])
             symbols = np.concatenate([[0], np.cumsum(SYMBOLS[data])])
             distinct, back, begins = _halved(texts)
-            middle = np.searchsorted(distinct, np.uint64(1 << 8 * ORDER))
-            plain = distinct & np.uint64((1 << 8 * ORDER) - 1)
-            loss = np.concatenate(
-                [models.value[0].log_probabilities(plain[:middle]), models.value[1].log_probabilities(plain[middle:])]
-            )
-            logs = np.concatenate([[0.0], np.cumsum(loss[back])])
+            sums = np.concatenate([[0.0], np.cumsum(logs(distinct)[back])])
             sizes = np.diff(begins)
             words = found.counts()
             lines = np.array([_duplicate_lines(t) for t in texts], np.int64)
-            loss = -(logs[begins[1:]] - logs[begins[:-1]]) / np.maximum(sizes, 1)
+            loss = -(sums[begins[1:]] - sums[begins[:-1]]) / np.maximum(sizes, 1)
             yield (
                 words,
                 np.diff(chars[offsets]),
@@ -304,19 +327,93 @@ def measures(text: Column, models) -> Column:
                 np.where(words > 0, loss, np.nan),
             )
 
+    parts = list(one())
+    arrays = [
+        np.concatenate([p[k] for p in parts]) if parts else np.zeros(0, np.int64 if k < 5 else float)
+        for k in range(len(NAMES))
+    ]
+    return [pa.array(a, from_pandas=True) for a in arrays]
+
+
+def measures(text: Column, models) -> Column:
+    """Struct of the base numbers of a text and `nats`, its mean loss per byte (null without words).
+
+    `models` is a broadcast pair of models.
+    """
+
+    def logs(distinct: np.ndarray) -> np.ndarray:
+        middle = np.searchsorted(distinct, np.uint64(1 << 8 * ORDER))
+        plain = distinct & np.uint64((1 << 8 * ORDER) - 1)
+        parts = zip(models.value, (plain[:middle], plain[middle:]), strict=True)
+        return np.concatenate([model.log_probabilities(own) for model, own in parts])
+
     def over(column: pa.Array) -> pa.Array:
-        parts = list(one(column))
-        names = [m.split()[0] for m in MEASURES.split(", ")]
-        arrays = [
-            np.concatenate([p[k] for p in parts]) if parts else np.zeros(0, np.int64 if k < 5 else float)
-            for k in range(len(names))
-        ]
-        held = [pa.array(a, from_pandas=True) for a in arrays]
-        return pa.StructArray.from_arrays(held, names)
+        return pa.StructArray.from_arrays(_measured(column, logs), NAMES)
 
     return F.arrow_udf(over, MEASURES)(text)
 
 
+def _numbered(text: Column) -> Column:
+    """Number of a row's block: texts of at most BLOCK bytes that follow each other, or one longer text."""
+    number = numbers()
+
+    def over(column: pa.Array) -> pa.Array:
+        _, offsets = W.buffers(column)
+        first = TaskContext.get().partitionId() << 32
+        sizes = [(first | next(number), end - begin) for begin, end in W.slices(offsets, BLOCK)]
+        return pa.array(np.repeat([b for b, _ in sizes], [n for _, n in sizes]).astype(np.int64))
+
+    return F.arrow_udf(over, "long").asNondeterministic()(text)
+
+
+def _joined_measures(docs: DataFrame, held: Tables, own: list[str]) -> DataFrame:
+    """The named columns with the measures of each text, for a model of any size."""
+    blocks = durable(docs.withColumn("_block", _numbered(F.col("text"))))
+
+    def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            block = batch["_block"].to_numpy()
+            cuts = np.flatnonzero(np.diff(block, prepend=-1, append=-1)).tolist() if len(block) else []
+            for begin, end in zip(cuts[:-1], cuts[1:], strict=True):
+                texts = [t for *_, part in _texts(batch["text"].slice(begin, end - begin)) for t in part]
+                marked, _, _ = _halved(texts)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.full(len(marked), block[begin])),
+                        pa.array((marked >> np.uint64(8 * ORDER)).astype(np.int32)),
+                        pa.array((marked & np.uint64((1 << 8 * ORDER) - 1)).view(np.int64)),
+                    ],
+                    ["of", "half", "gram"],
+                )
+
+    spelled = blocks.select("_block", "text").mapInArrow(spell, "of long, half int, gram long")
+    asked = held.grams.select((1 - F.col("half")).alias("half"), "gram")
+    facts = spelled.join(probabilities(held, asked)[ORDER], ["half", "gram"])
+    names = [c.strip("`") for c in own]
+
+    def total(left: pa.Table, right: pa.Table) -> pa.Table:
+        half, gram, p = (right[c].to_numpy() for c in ("half", "gram", "p"))
+        keys = gram.view(np.uint64) | half.astype(np.uint64) << np.uint64(8 * ORDER)
+        ranked = np.argsort(keys)
+        keys, values = keys[ranked], np.log(p[ranked])
+
+        def logs(distinct: np.ndarray) -> np.ndarray:
+            if not len(distinct):
+                return np.zeros(0)
+            at = np.minimum(np.searchsorted(keys, distinct), len(keys) - 1)
+            if (keys[at] != distinct).any():
+                raise ValueError("a 5-gram of a block has no probability")
+            return values[at]
+
+        out = left.select(names)
+        for name, values_of in zip(NAMES, _measured(left["text"].combine_chunks(), logs), strict=True):
+            out = out.append_column(name, values_of)
+        return out
+
+    schema = StructType([docs.schema[c] for c in names] + StructType.fromDDL(MEASURES).fields)
+    return blocks.groupBy("_block").cogroup(facts.groupBy("of")).applyInArrow(total, schema)
+
+
 def bands(measured: DataFrame) -> DataFrame:
     """Quartiles of each language and the reach beyond them, from all texts that pass the base rules."""
     bins = (
@@ -335,17 +432,17 @@ def judged(docs: DataFrame, keep_text: bool = True) -> DataFrame:
 
     Columns of these names are replaced; `lang` is a text or null.
     """
-    models = docs.sparkSession.sparkContext.broadcast(train(docs))
-    names = [m.split()[0] for m in MEASURES.split(", ")]
-    own = [f"`{c}`" for c in docs.columns if c not in (*names, "base_failed", "low", "high", "kept", "_m")]
+    spark, held = docs.sparkSession, tables(docs)
+    own = [f"`{c}`" for c in docs.columns if c not in (*NAMES, "base_failed", "low", "high", "kept", "_m")]
     if not keep_text:
         own.remove("`text`")
     failed = f"n_words < {LEAST_WORDS} OR 100 * n_repeat_words > {MOST_REPEATED} * n_words"
-    measured = durable(
-        docs.withColumn("_m", measures(F.col("text"), models))
-        .select(*own, "_m.*")
-        .withColumn("base_failed", F.expr(failed))
-    )
+    if held.rows <= limit(spark, "modelRows"):
+        models = spark.sparkContext.broadcast(_fetched(held))
+        found = docs.withColumn("_m", measures(F.col("text"), models)).select(*own, "_m.*")
+    else:
+        found = _joined_measures(docs, held, own)
+    measured = durable(found.withColumn("base_failed", F.expr(failed)))
     # An empty name stands for no language, so that nulls meet in the join.
     named = measured.withColumn("_lang", F.coalesce("lang", F.lit("")))
     limits = bands(named.drop("lang").withColumnRenamed("_lang", "lang")).withColumnRenamed("lang", "_lang")

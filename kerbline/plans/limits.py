@@ -18,6 +18,8 @@ DEFAULTS = {
     "keyRows": 5_000_000,
     # distinct values the buffer of an exact percentile may hold
     "distinctValues": 500_000,
+    # n-grams of a model that is sent to every task
+    "modelRows": 4_000_000,
 }
 
 

@@ -137,3 +137,33 @@ def test_edges(spark):
     assert sorted((r.doc_id, r.n_words) for r in kept.collect()) == [(4, 4), (4, 4)]
     assert op.judged(docs.filter("false")).count() == 0
     assert op.reject(docs.filter("false")).count() == 0
+
+
+def test_more_grams_than_four_million_stay_exact(spark):
+    """Random text has millions of different 5-grams; unseen ones must not find a share."""
+    made = np.random.default_rng(3)
+    letters = np.frombuffer(b"abcdefghijklmnopqrstuvwxyz0123456789!#$%&()*+,-./:;<=>?@[]^_{|}~", np.uint8)
+    texts = [letters[made.integers(0, len(letters), 1_000_000)].tobytes().decode() for _ in range(12)]
+    halves = Counter(op.half(t.encode()) for t in texts)
+    assert min(halves.values()) >= 5
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    for model in op.train(docs.repartition(6)):
+        for context in (b"abcd", b"q7#x", texts[0][500:504].encode(), texts[1][900:904].encode()):
+            codes = np.array([int.from_bytes(context + bytes([b]), "big") for b in range(256)], np.uint64)
+            assert abs(np.exp(model.log_probabilities(codes)).sum() - 1) < 1e-4
+
+
+def test_joined_model_equals_arrays(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text", "lang").limit(300)
+    more = [(None, None, "en"), (-1, "", None), (-2, "twice over", "en"), (-2, "twice over", "en"), (-3, "w" * 5_000_000, "xx")]
+    docs = docs.union(spark.createDataFrame(more, docs.schema))
+    found = []
+    for most in ("4000000", "0"):
+        spark.conf.set("spark.kerbline.modelRows", most)
+        try:
+            found.append(sorted(map(repr, op.judged(docs, keep_text=False).collect())))
+            kept = sorted(map(repr, op.reject(docs).collect()))
+        finally:
+            spark.conf.unset("spark.kerbline.modelRows")
+        found[-1].append(kept)
+    assert found[0] == found[1]
