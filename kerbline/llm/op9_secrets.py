@@ -4,9 +4,11 @@ Three kinds are searched: `assign` (a name such as password or api_key, then = o
 or more characters), `access` (AKIA and capitals or digits, 20 characters or more) and `hex` (24 or
 more lower-case hexadecimal digits). A worklist starts with the text. A layer taken from it is
 scanned, then what it holds encoded becomes further layers: the layer with its percent escapes
-decoded, the layer with its Unicode escapes decoded, each base64 run that decodes to text, and each
-base64 run that decodes to gzip, zlib, bzip2 or xz data. The list ends when nothing is left to decode. A
-layer equal to one of those it was decoded from is a cycle and is not followed.
+decoded, the layer with its Unicode escapes decoded, each stretch of text that a base64 run decodes to, and
+the gzip, zlib, bzip2 or xz data that a run decodes to. Lines of base64 are also taken together as one run.
+A run is decoded from each of its first four characters, so what stands before the encoded part does not
+hide it, and packed data is found at any place of it. The list ends when nothing is left to decode. A layer
+equal to one of those it was decoded from is a cycle and is not followed.
 
 Every layer can map its spans to its parent's, hence a secret found at any depth gets its place in the
 text, in code points with the end exclusive: the encoded characters themselves, or the whole run where
@@ -50,6 +52,11 @@ ESCAPE = re.compile(
     r"|&#[xX]([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});"
 )
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}")
+#: Runs on lines that follow each other; every line after the first is all base64. Line ends may be escaped.
+WRAPPED = re.compile(
+    r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+(?:(?:\r\n?|\n|\\r\\n|\\n)[\x20\t>]*+[A-Za-z0-9+/_-]++(?=[\x20\t]*+(?:[\r\n=\\\"'<)\]},;]|\Z)))+"
+)
+LINE_END = re.compile(r"(?:\r\n?|\n|\\r\\n|\\n)[\x20\t>]*")
 #: Lower-case words and words with a capital are no base64 in practice and decode to no text.
 WORD = re.compile(r"[A-Za-z]?[a-z]+\Z")
 URL_SAFE = str.maketrans("-_", "+/")
@@ -173,35 +180,57 @@ def _unpacked(data: bytes) -> Iterator[bytes]:
         yield window
 
 
-def _readable(data: bytes) -> str | None:
-    """Decoded bytes as text, if they are text without control characters."""
-    try:
-        text = data.decode()
-    except UnicodeDecodeError:
-        return None
-    return text if not any(b < 32 and b not in (9, 10, 13) for b in data) else None
+#: How packed data begins, at any place of decoded bytes.
+PACKED = re.compile(
+    rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]|BZh[1-9](?:1AY&SY|\x17rE8P\x90)|\xfd7zXZ\x00", re.DOTALL
+)
+#: Valid UTF-8 without control characters, as long as the shortest secret.
+READABLE = re.compile(
+    rb"(?:[\t\n\r\x20-\x7f]|[\xc2-\xdf][\x80-\xbf]|\xe0[\xa0-\xbf][\x80-\xbf]|[\xe1-\xec\xee\xef][\x80-\xbf]{2}"
+    rb"|\xed[\x80-\x9f][\x80-\xbf]|\xf0[\x90-\xbf][\x80-\xbf]{2}|[\xf1-\xf3][\x80-\xbf]{3}"
+    rb"|\xf4[\x80-\x8f][\x80-\xbf]{2}){11,}+"
+)
+
+
+def _encoded(text: str) -> Iterator[tuple[str, Callable[[int], int]]]:
+    """Base64 runs, each with the place of its characters in the text."""
+    for m in BASE64.finditer(text):
+        if not WORD.match(m[0]):
+            yield m[0], lambda i, start=m.start(): start + i
+    for m in WRAPPED.finditer(text):
+        parts, places, upto = [], [], m.start()
+        for end in LINE_END.finditer(text, m.start(), m.end()):
+            parts.append(text[upto : end.start()])
+            places.append(np.arange(upto, end.start()))
+            upto = end.end()
+        parts.append(text[upto : m.end()])
+        places = np.concatenate([*places, np.arange(upto, m.end())])
+        yield "".join(parts), lambda i, places=places: int(places[i])
 
 
 def _runs(text: str, locate: Locate) -> Iterator[tuple[str, Locate]]:
     """Layers out of the base64 runs of a layer."""
-    for m in BASE64.finditer(text):
-        if WORD.match(m[0]):
-            continue
-        run = m[0].translate(URL_SAFE)
-        left = len(run) % 4
-        if left == 1:
-            run = run[:-1]
-        data = base64.b64decode(run + "=" * (-len(run) % 4))
-        start, end = m.start(), m.start() + len(run)
-        if _unpacker(data):
-            whole = locate(start, end)
-            for window in _unpacked(data):
-                yield window.decode("utf-8", "replace"), lambda a, b, whole=whole: whole
-        elif (new := _readable(data)) is not None:
-            place = _bytes_of(data, new)
-            yield new, lambda a, b, start=start, end=end, place=place: locate(
-                start + place(a) * 4 // 3, min(end, start - (-place(b) * 4 // 3))
-            )
+    for found, place in _encoded(text):
+        found = found.translate(URL_SAFE)
+        for first in range(4):
+            run = found[first:]
+            if len(run) % 4 == 1:
+                run = run[:-1]
+            data = base64.b64decode(run + "=" * (-len(run) % 4))
+
+            def span(a: int, b: int, first=first, place=place, size=len(run)) -> tuple[int, int]:
+                """Characters that hold the bytes a ... b."""
+                return place(first + a * 4 // 3), place(first + min(size, -(-b * 4 // 3)) - 1) + 1
+
+            begins = {m.start() for m in PACKED.finditer(data)} | ({0} if _unpacker(data) else set())
+            for begin in sorted(begins):
+                whole = locate(*span(begin, len(data)))
+                for window in _unpacked(data[begin:]):
+                    yield window.decode("utf-8", "replace"), lambda a, b, whole=whole: whole
+            for m in READABLE.finditer(data):
+                new = m[0].decode()
+                at = _bytes_of(m[0], new)
+                yield new, lambda a, b, at=at, base=m.start(), span=span: locate(*span(base + at(a), base + at(b)))
 
 
 def _bytes_of(data: bytes, text: str) -> Callable[[int], int]:

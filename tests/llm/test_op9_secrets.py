@@ -106,3 +106,38 @@ def test_edges(spark):
     assert out.columns == docs.columns and out.schema["n_chars"].dataType == docs.schema["n_chars"].dataType
     assert sorted(map(str, (r.text for r in out.collect()))) == ["", "", "None", "x [assign]"]
     assert op.scan(docs.filter("false")).count() == 0
+
+
+def test_base64_on_several_lines():
+    plain = "lead words to fill the first of the lines up to its end " + "password=hunter22xyz" + " and more words behind it " * 4
+    noise = hashlib.sha512(b"x").digest() * 3
+    for data in (plain.encode(), gzip.compress(noise + b" secret: abcdefgh12 " + hashlib.sha512(b"y").digest() * 2)):
+        for width in (64, 76):
+            whole = b64(data)
+            lines = [whole[i : i + width] for i in range(0, len(whole), width)]
+            for end in ("\n", "\r\n", "%0A", "%0D%0A", "\\u000a", "\\n", "\n  "):
+                text = "é mail:\n" + end.join(lines) + "\nbye"
+                found = [s for s in op.spans(text) if s[0] == "assign"]
+                assert found, (width, end)
+                for _, a, b, _ in found:
+                    assert 7 < a < b <= len(text) - 4
+    first = b64(plain).index(b64(plain.encode()[54:60])[:4])
+    text = "\n".join(b64(plain)[i : i + 76] for i in range(0, len(b64(plain)), 76))
+    (span,) = {s[:3] for s in op.spans(text) if s[0] == "assign"}
+    assert first <= span[1] <= first + 8 and base64.b64decode(text[span[1] // 4 * 4 :].replace("\n", "")[:32])
+
+
+def test_base64_behind_other_characters():
+    plain = "password=hunter22xyz"
+    for before in ("https://x.com/cb/", "a-", "ab_", "abc-", "/u/", "x.com/cb/ab", "key/"):
+        for body in (b64(plain), b64(gzip.compress(plain.encode())), b64(bz2.compress(plain.encode()))):
+            text = f"{before}{body} after"
+            found = [s for s in op.spans(text) if s[0] == "assign"]
+            assert found, (before, body)
+            assert all(len(before) - 2 <= s[1] < s[2] <= len(before) + len(body) for s in found), (before, found)
+
+
+def test_secret_beside_other_bytes():
+    for other in (b"\x00", b"\xff\xfe\x01", b"\x1b[0m"):
+        for data in (other + b"token=abcdefgh ", b" token=abcdefgh " + other, other + b"\xc3\xa9 token=abcdefgh " + other):
+            assert [s[0] for s in op.spans(b64(data))] == ["assign"], data
