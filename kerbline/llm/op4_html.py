@@ -8,7 +8,9 @@ marginal probability given the whole page. Nodes over one half are content.
 
 Labelled pages are those that mark their article (`article`, `main` or role main); a node is content there
 if it is inside and in no part that by its tag or names is a menu, header, footer, sidebar, notice,
-advert, form or comment section. Such names also count on pages that mark nothing. At most
+advert, form or comment section. Such names also count on pages that mark nothing, but not for html and
+body, and not where they would leave a page nearly without text: there a box, or boxes of one name, that
+hold most of the words outside links are judged by the messages alone, and so are their parts. At most
 TRAINING_PAGES labelled pages are used, picked by a digest; extraction covers all pages.
 
 Scripts, styles, templates and comments in the markup hold no text. Character references are decoded,
@@ -79,30 +81,30 @@ RAW = {"script", "style", "textarea", "title", "iframe", "noscript"}
 
 
 class Node:
-    __slots__ = ("children", "hint", "linked", "parent", "tag", "words")
+    __slots__ = ("cause", "children", "hint", "linked", "parent", "tag", "words")
 
-    def __init__(self, tag: str, hint: int, parent: int):
-        self.tag, self.hint, self.parent = tag, hint, parent
+    def __init__(self, tag: str, hint: int, parent: int, cause: str = ""):
+        self.tag, self.hint, self.parent, self.cause = tag, hint, parent, cause
         self.words = self.linked = 0
         self.children: list[int] = []
 
 
-def _hint(tag: str, attributes: str) -> int:
-    """What a tag and its names say: outside the text, inside it, or nothing."""
+def _hint(tag: str, attributes: str) -> tuple[int, str]:
+    """What a tag and its names say: outside the text, inside it, or nothing; and which of them say outside."""
     if tag in OUTSIDE:
-        return OUT
+        return OUT, tag
     names: set[str] = set()
     for m in _ATTRIBUTE.finditer(attributes):
         key, value = m[1].lower(), unescape(m[2] or m[3] or m[4] or "")
         if key in ("class", "id", "role", "itemprop", "aria-label"):
             names.update(_PARTS.findall(value.lower()))
         elif key == "hidden" or key == "aria-hidden" and value == "true":
-            return OUT
+            return OUT, "hidden"
         elif key == "style" and value and "display:none" in value.replace(" ", "").lower():
-            return OUT
+            return OUT, "hidden"
     if names & OUTSIDE_NAMES:
-        return OUT
-    return IN if tag in INSIDE or names & INSIDE_NAMES else NONE
+        return OUT, " ".join(sorted(names & OUTSIDE_NAMES))
+    return (IN if tag in INSIDE or names & INSIDE_NAMES else NONE), ""
 
 
 class Page:
@@ -116,6 +118,38 @@ class Page:
         self.parts: list[str] = []
         self._read(html)
         self._end_block()
+        self._settle()
+
+    def _settle(self) -> None:
+        """Take back hints that would leave the page nearly without text, hand the others down to parts."""
+        nodes = self.nodes
+        plain = [node.words - node.linked for node in nodes]
+        held = plain.copy()
+        for i in range(len(nodes) - 1, 0, -1):
+            held[nodes[i].parent] += held[i]
+        for node in nodes:
+            if node.tag in ("html", "body") and node.hint == OUT:
+                node.hint = NONE
+        while True:
+            outside = [False] * len(nodes)
+            groups: dict[str, list[int]] = {}
+            for i, node in enumerate(nodes):
+                above = i > 0 and outside[node.parent]
+                outside[i] = node.hint == OUT or node.hint == NONE and above
+                if node.hint == OUT and not above:
+                    groups.setdefault(node.cause, []).append(i)
+            free = sum(n for n, out in zip(plain, outside, strict=True) if not out)
+            if 10 * free >= held[0]:
+                break
+            boxes = [[i] for group in groups.values() for i in group] + list(groups.values())
+            wide = next((box for box in boxes if 2 * sum(held[i] for i in box) > held[0]), None)
+            if wide is None:
+                break
+            for i in wide:
+                nodes[i].hint = NONE
+        for node, out in zip(nodes, outside, strict=True):
+            if out:
+                node.hint = OUT
 
     def _read(self, html: str) -> None:
         at = 0
@@ -190,10 +224,8 @@ class Page:
         if len(self.open) >= DEEPEST:
             self._pop(DEEPEST - 1)
         parent = self.open[-1][1]
-        hint = _hint(tag, attributes)
-        if hint == NONE and self.nodes[parent].hint == OUT:
-            hint = OUT  # a part of something that is named outside
-        self.nodes.append(Node(tag, hint, parent))
+        hint, cause = _hint(tag, attributes)
+        self.nodes.append(Node(tag, hint, parent, cause))
         self.nodes[parent].children.append(len(self.nodes) - 1)
         self.open.append((tag, len(self.nodes) - 1))
         self.silent += tag in SILENT

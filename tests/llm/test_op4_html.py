@@ -88,3 +88,21 @@ def test_edges(spark):
         op.main_text("<article>" + piece * 5_000, potentials)
     op.main_text("<article>" + "<p>word word</p>" * 20_000, potentials)
     assert time.time() - began < 120
+
+
+def test_wrappers_with_telling_names_keep_their_text(spark):
+    potentials = op.train(spark.read.parquet(f"{FOLDER}/pages.parquet"))
+    words = "some words of a paragraph that goes on for quite a while and says a thing or two more."
+    text = "".join(f"<p>{k} {words}</p>" for k in ("One", "Two", "Three"))
+    menu = "<nav><ul><li><a href=x>Home page</a><li><a href=y>All news</a></ul></nav>"
+    side = f"<div class=sidebar><p>Beside {words}</p></div>"
+    for page in (
+        f"<body class='no-sidebar'>{menu}<div>{text}</div>{side}</body>",
+        f"<body>{menu}<div class='site header-fixed'><div>{text}</div>{side}</div></body>",
+        f"<body><div class='content-with-sidebar'>{menu}<div>{text}</div>{side}</div></body>",
+        f"<body>{menu}<form id=aspnet><div>{text}</div>{side}</form></body>",
+        f"<body class=no-sidebar><form><div class='site header-fixed'>{menu}<div>{text}</div>{side}</div></form></body>",
+        "<body>" + menu + "".join(f"<div class=elementor-widget><p>{k} {words}</p></div>" for k in ("One", "Two", "Three")) + side + "</body>",
+    ):
+        found = op.main_text(page, potentials)
+        assert found == "\n\n".join(f"{k} {words}" for k in ("One", "Two", "Three")), page
