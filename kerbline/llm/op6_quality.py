@@ -9,6 +9,8 @@ the corpus. There are two plans with equal results. Up to `spark.kerbline.modelR
 model goes to every task as sorted arrays, looked up by binary search. A larger one stays in Spark: the
 probability of each distinct 5-gram of the texts is joined together order by order, and joined to blocks
 of texts by the distinct 5-grams of a block. No key has more than 256 rows there, or one for each block.
+An order whose estimated discounts are not strictly between 0 and their counts (repeated texts cause this)
+takes 0.5, 1 and 1.5.
 
 A text's score is its mean negative log probability per byte. Each language has a band around the middle
 half of its texts: quartiles minus and plus three times their distance, and more for a text of few words,
@@ -22,7 +24,7 @@ Null texts have no words. Texts with fewer than 20 words, or with over 30 % of t
 from __future__ import annotations
 
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 from itertools import count as numbers
 
@@ -123,17 +125,32 @@ def count_grams(docs: DataFrame) -> DataFrame:
     return counted.groupBy("half", "gram").agg(F.sum("n").alias("n"))
 
 
+#: Discounts of counts 1, 2 and 3 or more where the estimates are not usable.
+PLAIN_CUTS = (0.5, 1.0, 1.5)
+
+
+def usable(cuts: Sequence[float]) -> bool:
+    """Whether each count keeps a share and each context a weight for the next lower order."""
+    return all(0 < cut < k for k, cut in enumerate(cuts, 1))
+
+
 def _discounts(grams: DataFrame) -> list[list[float]]:
-    """For each half, the discounts of counts 1, 2 and 3 or more, from how many n-grams have counts 1 to 4."""
+    """For each half, the discounts of counts 1, 2 and 3 or more, from how many n-grams have counts 1 to 4.
+
+    Corpora with repeated texts have too few small counts: an estimate can leave the range between 0 and
+    its count. An order with such an estimate takes PLAIN_CUTS instead, so no byte has probability 0.
+    """
     rows = grams.groupBy("half").agg(
         *[F.count_if(F.col("n") == k).alias(f"n{k}") for k in (1, 2, 3, 4)]
     )
-    out = [[0.5, 1.0, 1.5], [0.5, 1.0, 1.5]]
+    out = [list(PLAIN_CUTS), list(PLAIN_CUTS)]
     for row in rows.collect():  # two rows
         n = [row[f"n{k}"] for k in (1, 2, 3, 4)]
         if all(n):
             y = n[0] / (n[0] + 2 * n[1])
-            out[row.half] = [min(max(k - (k + 1) * y * n[k] / n[k - 1], 0.0), float(k)) for k in (1, 2, 3)]
+            cuts = [k - (k + 1) * y * n[k] / n[k - 1] for k in (1, 2, 3)]
+            if usable(cuts):
+                out[row.half] = cuts
     return out
 
 

@@ -39,8 +39,8 @@ def brute_model(texts):
         n = Counter(counts[k].values())
         if all(n[i] for i in (1, 2, 3, 4)):
             y = n[1] / (n[1] + 2 * n[2])
-            d = [min(max(i - (i + 1) * y * n[i + 1] / n[i], 0), i) for i in (1, 2, 3)]
-        else:
+            d = [i - (i + 1) * y * n[i + 1] / n[i] for i in (1, 2, 3)]
+        if not all(n[i] for i in (1, 2, 3, 4)) or any(not 0 < d[i] < i + 1 for i in range(3)):
             d = [0.5, 1.0, 1.5]
         total, weight = defaultdict(int), defaultdict(float)
         for g, c in counts[k].items():
@@ -167,3 +167,40 @@ def test_joined_model_equals_arrays(spark):
             spark.conf.unset("spark.kerbline.modelRows")
         found[-1].append(kept)
     assert found[0] == found[1]
+
+
+def repeated(spark):
+    """Nine of ten documents four times, the tenth once: small counts are rare."""
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text", "lang")
+    return docs.withColumn("_k", F.explode(F.expr("sequence(1, if(doc_id % 10 = 0, 1, 4))"))).drop("_k")
+
+
+@pytest.mark.parametrize("corpus", ["repeated", "sf0.1"])
+def test_every_byte_has_a_probability(spark, corpus):
+    docs = repeated(spark) if corpus == "repeated" else spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    held = op.tables(docs)
+    pick = np.random.default_rng(8)
+    grams = held.grams.filter("half = 0").select("gram").limit(200_000).toPandas()["gram"].to_numpy()
+    seen = [int(g) >> 8 for g in pick.choice(grams, 300)]
+    contexts = [*seen, int.from_bytes(b"qz\x00~", "big"), int.from_bytes(b"    ", "big")]
+    codes = np.array([c << 8 | b for c in contexts for b in range(256)], np.uint64)
+    for model in op._fetched(held):
+        p = np.exp(model.log_probabilities(codes)).reshape(-1, 256)
+        assert (p > 0).all() and np.abs(p.sum(1) - 1).max() < 1e-4
+    asked = spark.createDataFrame([(0, int(g)) for g in np.unique(codes[: 40 * 256])], "half int, gram long")
+    found = op.probabilities(held, asked)[op.ORDER].groupBy((F.col("gram") / 256).cast("long")).agg(
+        F.min("p").alias("low"), F.sum("p").alias("all")
+    ).collect()
+    assert found and all(r.low > 0 and abs(r["all"] - 1) < 1e-4 for r in found)
+
+
+def test_repeated_corpus_has_the_same_verdicts_in_both_plans(spark):
+    found = []
+    for most in ("4000000", "0"):
+        spark.conf.set("spark.kerbline.modelRows", most)
+        try:
+            verdicts = op.judged(repeated(spark), keep_text=False).select("doc_id", F.round("nats", 9), "kept")
+            found.append(sorted(map(repr, verdicts.collect())))
+        finally:
+            spark.conf.unset("spark.kerbline.modelRows")
+    assert found[0] == found[1] and not any("inf" in r for r in found[0])
