@@ -13,6 +13,7 @@ from kerbline.llm import (
     op8_bpe,
     op9_secrets,
     op10_packing,
+    op11_tiktoken,
 )
 
 MODULES = [
@@ -26,6 +27,7 @@ MODULES = [
     op8_bpe,
     op9_secrets,
     op10_packing,
+    op11_tiktoken,
 ]
 
 
