@@ -14,6 +14,8 @@ from kerbline.llm import (
     op9_secrets,
     op10_packing,
     op11_tiktoken,
+    op12_divergence,
+    op13_hard_negatives,
 )
 
 MODULES = [
@@ -28,6 +30,8 @@ MODULES = [
     op9_secrets,
     op10_packing,
     op11_tiktoken,
+    op12_divergence,
+    op13_hard_negatives,
 ]
 
 
