@@ -110,7 +110,8 @@ def decoded(ids: Column, path: str = RANKS) -> Column:
 
     def over(column: pa.Array) -> pa.Array:
         held = encoding(path)
-        return pa.array([held.decode_bytes(row or []) for row in column.to_pylist()], pa.binary())
+        # Row by row, as integers of Python take many times the room of an array's.
+        return pa.array([held.decode_bytes(row.as_py() or []) for row in column], pa.binary())
 
     return F.arrow_udf(over, "binary")(ids)
 
