@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from kerbline.functions.times import micros
 from kerbline.plans.durable import attach, durable
-from kerbline.plans.slices import ordered_frames, running_sums
+from kerbline.plans.limits import heaviest_key
+from kerbline.plans.slices import next_values, ordered_frames, running_sums
 
 BY = ("device_id",)
 ORDER = ("event_time", "event_id")
@@ -84,31 +85,27 @@ def label_next_event(
 
 
 def label_next_window(base: DataFrame, minutes: int = 15) -> DataFrame:
-    """Per device and time: was any event in the next `minutes` occupied; null if there was none.
+    """Per device and time: was any event in the next `minutes` occupied; null if no state was known then.
 
-    Replaces a range self-join. Times are first made distinct, then cut into stretches as long as
-    the horizon: the answer for a time lies in its own stretch and the next one, so each time is
-    sent to two stretches and one short RANGE frame finishes the job. A busy device spreads over as
-    many tasks as it has stretches.
+    Replaces a range self-join. Times are first made distinct. Each then looks up the next time with a
+    known state and the next occupied time of its device, and compares both with the horizon. So no row
+    is copied, and a busy device spreads over slices with one carried row each.
     """
     horizon = minutes * 60 * 1_000_000
+    timed = base.filter(F.col("device_id").isNotNull() & F.col("event_time").isNotNull())
     instants = (
-        base.filter(F.col("device_id").isNotNull() & F.col("event_time").isNotNull())
-        .groupBy("device_id", "event_time")
+        timed.groupBy("device_id", "event_time")
         .agg(F.max("occupied").alias("_occ"))
         .withColumn("_us", micros(F.col("event_time")))
-        .withColumn("_home", F.floor(F.col("_us") / horizon))
     )
-    sent = instants.withColumn(
-        "_stretch", F.explode(F.array(F.col("_home"), F.col("_home") - 1))
-    )
-    ahead = (
-        Window.partitionBy("device_id", "_stretch").orderBy("_us").rangeBetween(1, horizon)
-    )
-    return (
-        sent.withColumn("occ_in_next", F.max("_occ").over(ahead))
-        .filter(F.col("_stretch") == F.col("_home"))
-        .select("device_id", "event_time", "occ_in_next")
+    ahead = {
+        "_known": F.when(F.col("_occ").isNotNull(), F.col("_us")),
+        "_taken": F.when(F.col("_occ") > 0, F.col("_us")),
+    }
+    until = F.col("_us") + F.lit(horizon)
+    state = F.when(F.col("_taken") <= until, 1).when(F.col("_known") <= until, 0)
+    return next_values(instants, BY, "_us", ahead, heaviest_key(timed, BY)).select(
+        "device_id", "event_time", state.alias("occ_in_next")
     )
 
 

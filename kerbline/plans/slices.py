@@ -151,3 +151,35 @@ def positions(df: DataFrame, order: Sequence[Order], name: str) -> DataFrame:
     return rows.join(F.broadcast(starts), SLICE).select(
         *df.columns, (F.col("_start") + F.col(SEQ) - F.col("_lo")).alias(name)
     )
+
+
+def next_values(
+    df: DataFrame, by: Sequence[str], order: str, values: dict[str, Column], heaviest: int
+) -> DataFrame:
+    """Add, for each name, the value of the nearest later row of the key whose value is not null.
+
+    Rows have distinct whole numbers `order` within `by`, and values grow with it. `heaviest` is the most
+    rows of a key. Up to the limit one window looks back from the end of each key. A larger key covers
+    several slices: each slice looks inside itself, and a value from beyond comes from a small table with
+    the first values of the later slices of the same key, carried from right to left.
+    """
+    valued = df.withColumns({f"_v_{n}": v for n, v in values.items()})
+    nearest = {n: F.last(f"_v_{n}", ignorenulls=True) for n in values}
+    if heaviest <= limit(df.sparkSession, "keyRows"):
+        back = Window.partitionBy(*by).orderBy(F.desc(order)).rowsBetween(Window.unboundedPreceding, -1)
+        return valued.withColumns({n: v.over(back) for n, v in nearest.items()}).select(*df.columns, *values)
+    rows = slice_rows(valued, [*by, order])
+    # As values grow with the order, the first of the later slices is the least.
+    firsts = rows.groupBy(SLICE, *by).agg(*[F.min(f"_v_{n}").alias(f"_f_{n}") for n in values])
+    later = Window.partitionBy(*by).orderBy(F.desc(SLICE)).rowsBetween(Window.unboundedPreceding, -1)
+    # Only a key that goes on in a later slice gets a carry: at most one per slice.
+    carries = (
+        firsts.withColumns({f"_c_{n}": F.min(f"_f_{n}").over(later) for n in values})
+        .withColumn("_more", F.count(F.lit(1)).over(later))
+        .filter(F.col("_more") > 0)
+        .select(SLICE, *by, *[f"_c_{n}" for n in values])
+    )
+    here = Window.partitionBy(SLICE, *by).orderBy(F.desc(SEQ)).rowsBetween(Window.unboundedPreceding, -1)
+    local = rows.withColumns({f"_l_{n}": v.over(here) for n, v in nearest.items()})
+    joined = local.join(F.broadcast(carries), [SLICE, *by], "left")
+    return joined.select(*df.columns, *[F.coalesce(f"_l_{n}", f"_c_{n}").alias(n) for n in values])

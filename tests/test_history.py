@@ -1,7 +1,9 @@
 """Device history and labels on small fixtures, with both plans."""
 
+import random
 from datetime import timedelta
 
+import pytest
 from conftest import at, rows
 from pyspark.sql import functions as F
 
@@ -61,7 +63,36 @@ def test_label_next_event(spark, both_plans):
     assert got[0] == 1 and got[1] == 0 and got[11] is None and got[24] is None
 
 
-def test_label_window_edges(spark):
+@pytest.mark.parametrize("minutes", [1, 15, 24 * 60])
+def test_label_window_with_a_hot_device(spark, both_plans, minutes):
+    """A third of the rows on one device, unknown states, times that repeat, devices across slices."""
+    pick = random.Random(minutes)
+    spec = [
+        ("hot" if i % 3 == 0 else f"d{pick.randrange(60)}", pick.randrange(0, 40_000), pick.choice([0, 0, 0, 1, None]), 1)
+        for i in range(1500)
+    ]
+    states = {}
+    for device, second, state, _ in spec:
+        known = [v for v in (states.get((device, second)), state) if v is not None]
+        states[device, second] = max(known, default=None)
+    wanted = {}
+    for device, second in states:
+        ahead = [
+            v for (d, s), v in states.items()
+            if d == device and second < s <= second + 60 * minutes and v is not None
+        ]
+        wanted[device, second] = max(ahead, default=None)
+    out = h.label_next_window(events(spark, spec), minutes)
+    got = {(r.device_id, (r.event_time - START).total_seconds()): r.occ_in_next for r in out.collect()}
+    assert got == wanted
+
+
+def test_label_window_sends_no_row_twice(spark, both_plans):
+    plan = h.label_next_window(two_devices(spark))._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and "Expand" not in plan
+
+
+def test_label_window_edges(spark, both_plans):
     quarter = 15 * 60
     spec = [
         ("same", 0, 0, 1), ("same", 0, 1, 1),
