@@ -6,7 +6,6 @@ Fit everything that learns (category indexes, scaling, group facts) on the train
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
 
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import (
@@ -20,18 +19,26 @@ from pyspark.ml.evaluation import (
     BinaryClassificationEvaluator,
     MulticlassClassificationEvaluator,
 )
-from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit, TrainValidationSplitModel
+from pyspark.ml.util import (
+    DefaultParamsReader,
+    DefaultParamsWriter,
+    MLReadable,
+    MLReader,
+    MLWritable,
+    MLWriter,
+)
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kerbline.operators.category_index import CategoryIndex
 from kerbline.operators.features import index_categories, lump_rare
+from kerbline.operators.metrics import binary_metrics
 from kerbline.plans.durable import durable
 
 SEED = 42
-# A string indexer keeps its labels on the driver, so their number is checked first.
-MAX_LABELS = 100_000
 
 
 def prob1(vector: Column | str) -> Column:
@@ -54,16 +61,6 @@ def scale(
     return StandardScaler(inputCol=source, outputCol=name, withMean=with_mean).fit(df).transform(df)
 
 
-def check_labels(df: DataFrame, columns: Sequence[str], most: int = MAX_LABELS) -> None:
-    """Refuse columns with more categories than the driver should hold: lump rare ones first."""
-    if not columns:
-        return
-    sizes = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first()
-    wide = [c for c in columns if sizes[c] > most]
-    if wide:
-        raise ValueError(f"more than {most} categories in {wide}: apply lump_rare first")
-
-
 def preprocess(
     train: DataFrame,
     numeric: Sequence[str],
@@ -73,16 +70,11 @@ def preprocess(
 ) -> PipelineModel:
     """Fitted stages: index categories (unseen ones kept), assemble, scale to `features`.
 
-    The scaler also drops the category marks of the indexed columns. Trees then treat them as
-    ordered numbers and need no bin per category.
+    The index is a table, so the number of categories is not bounded. Trees treat the indexes as ordered
+    numbers and need no bin per category.
     """
-    check_labels(train, categories)
     indexed = [f"{c}_idx" for c in categories]
-    stages = [
-        StringIndexer(
-            inputCols=list(categories), outputCols=indexed, handleInvalid="keep"
-        )
-    ] if categories else []
+    stages = [CategoryIndex(inputCols=list(categories), outputCols=indexed)] if categories else []
     stages += [
         VectorAssembler(
             inputCols=[*numeric, *indexed], outputCol="features_raw", handleInvalid=invalid
@@ -216,60 +208,115 @@ def best_params(tuned: TrainValidationSplitModel) -> dict[str, float]:
     }
 
 
-@dataclass
-class Stack:
-    """Two base models and a logistic regression on their class-1 probabilities."""
+class _Nested(MLReadable, MLWritable):
+    """Estimators or models kept together: `parts` names them, each is saved in a folder of its name."""
+
+    parts = ("forest", "linear", "meta")
+
+    def __init__(self, forest=None, linear=None, meta=None):
+        super().__init__()
+        self.forest, self.linear, self.meta = forest, linear, meta
+
+    def write(self) -> MLWriter:
+        return _NestedWriter(self)
+
+    @classmethod
+    def read(cls) -> MLReader:
+        return _NestedReader(cls)
+
+
+class _NestedWriter(MLWriter):
+    def __init__(self, instance: _Nested):
+        super().__init__()
+        self.instance = instance
+
+    def saveImpl(self, path: str) -> None:
+        DefaultParamsWriter.saveMetadata(self.instance, path, self.sparkSession)
+        for part in self.instance.parts:
+            getattr(self.instance, part).write().save(f"{path}/{part}")
+
+
+class _NestedReader(MLReader):
+    def __init__(self, cls: type):
+        super().__init__()
+        self.cls = cls
+
+    def load(self, path: str):
+        metadata = DefaultParamsReader.loadMetadata(path, self.sparkSession)
+        parts = [DefaultParamsReader.loadParamsInstance(f"{path}/{part}", self.sparkSession) for part in self.cls.parts]
+        made = self.cls(*parts)
+        made._resetUid(metadata["uid"])
+        return made
 
-    forest: Model
-    linear: Model
-    meta: Model | None = None
+
+class Stack(_Nested, Estimator):
+    """A forest, a logistic regression, and one on top of their class-1 probabilities.
+
+    The forest writes its probability to `rf_prob` and may be a trained model, which is then taken as it is.
+    """
+
+    def _fit(self, train: DataFrame) -> StackModel:
+        forest = self.forest if isinstance(self.forest, Model) else self.forest.fit(train)
+        model = StackModel(forest, self.linear.fit(train))
+        model.meta = self.meta.fit(model.level_one(train))
+        return model
+
+
+class StackModel(_Nested, Model):
+    """The trained stack; it saves and loads as one."""
 
     def level_one(self, df: DataFrame) -> DataFrame:
         both = self.linear.transform(self.forest.transform(df))
         probs = both.withColumns({"rf_prob1": prob1("rf_prob"), "lr_prob1": prob1("lr_prob")})
         return assemble(probs, ["rf_prob1", "lr_prob1"], name="stack_features")
 
-    def transform(self, df: DataFrame) -> DataFrame:
+    def _transform(self, df: DataFrame) -> DataFrame:
         return self.meta.transform(self.level_one(df))
 
 
-def fit_stack(train: DataFrame, forest: Model | None = None) -> Stack:
-    """Stack on a tuned forest (or the one given, with its probability in `rf_prob`) and an LR."""
-    forest = forest or fit_tuned_rf(train).bestModel
-    linear = logistic(
-        probabilityCol="lr_prob", rawPredictionCol="lr_raw", predictionCol="lr_pred"
-    ).fit(train)
-    stack = Stack(forest, linear)
-    stack.meta = logistic(
+def stack(forest: Estimator | Model) -> Stack:
+    """The stack on a forest, with a regularised regression beside it and a plain one on top."""
+    linear = logistic(probabilityCol="lr_prob", rawPredictionCol="lr_raw", predictionCol="lr_pred")
+    meta = logistic(
         reg=0.0, featuresCol="stack_features", probabilityCol="stack_prob",
         rawPredictionCol="stack_raw", predictionCol="stack_pred",
-    ).fit(stack.level_one(train))
-    return stack
+    )
+    return Stack(forest, linear, meta)
+
+
+def fit_stack(train: DataFrame, forest: Model | None = None) -> StackModel:
+    """Stack on a tuned forest (or the one given, with its probability in `rf_prob`) and an LR."""
+    return stack(forest or fit_tuned_rf(train).bestModel).fit(train)
 
 
 def evaluate(
     preds: DataFrame, prediction: str = "prediction", raw: str = "rawPrediction"
 ) -> DataFrame:
-    """One row: auc, accuracy, f1_weighted. The predictions are kept while the three run."""
+    """One row: auc, accuracy, f1_weighted and the confusion counts tp, fp, fn, tn.
+
+    The predictions are kept while the evaluations run.
+    """
     preds.persist()
     try:
         multi = MulticlassClassificationEvaluator(labelCol="label", predictionCol=prediction)
+        counts = binary_metrics(preds.select("label", F.col(prediction).alias("prediction"))).first()
         row = (
             float(auc_evaluator().setRawPredictionCol(raw).evaluate(preds)),
             float(multi.setMetricName("accuracy").evaluate(preds)),
             float(multi.setMetricName("f1").evaluate(preds)),
+            *(counts[c] for c in ("tp", "fp", "fn", "tn")),
         )
     finally:
         preds.unpersist()
     return preds.sparkSession.createDataFrame(
-        [row], "auc double, accuracy double, f1_weighted double"
+        [row], "auc double, accuracy double, f1_weighted double, tp long, fp long, fn long, tn long"
     )
 
 
 def train_and_eval(
     estimator: Estimator | Callable[[DataFrame], Model], train: DataFrame, test: DataFrame
 ) -> tuple[Model, DataFrame, DataFrame]:
-    """Model, test predictions and their metrics."""
+    """Model, test predictions and their metrics with confusion counts."""
     model = estimator.fit(train) if isinstance(estimator, Estimator) else estimator(train)
     preds = model.transform(test)
     return model, preds, evaluate(preds)

@@ -2,10 +2,14 @@
 
 import pytest
 from conftest import rows
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import StringIndexer
 from pyspark.sql import functions as F
 
 from kerbline.functions.hashing import fraction
 from kerbline.operators import ml
+from kerbline.operators import model_tables as mt
+from kerbline.operators.category_index import CategoryIndex
 from kerbline.operators.sampling import parts, random_split
 from kerbline.plans.jobs import score_export, train_and_export
 from kerbline.sources.writers import save_model
@@ -87,10 +91,105 @@ def test_preprocess_keeps_unseen_and_refuses_null(spark, prepared):
     assert lenient.transform(empty).filter("features is not null").count() == train.count()
 
 
-def test_too_many_labels_are_refused(spark):
-    df = spark.range(500).select(F.col("id").cast("string").alias("c"), F.lit(1.0).alias("x"))
-    with pytest.raises(ValueError, match="lump_rare"):
-        ml.check_labels(df, ["c"], most=100)
+def test_many_categories_train_save_load_and_score_alike(spark, both_plans, tmp_path):
+    """200,000 categories: the index is a table, in training, in the saved model and in scoring."""
+    df = spark.range(300_000).select(
+        F.when(F.col("id") % 1000 != 0, F.concat(F.lit("c"), F.col("id") % 200_000)).alias("c"),
+        (F.col("id") % 3).cast("int").alias("e"), F.col("id").cast("double").alias("x"), "id",
+    )
+    stages = ml.preprocess(df, ["x"], ["c", "e"])
+    made = stages.transform(df).select("id", ml.vector_to_array("features_raw").alias("f")).cache()
+    assert made.count() == 300_000
+    index = dict(rows(made.filter("id in (0, 1, 3, 100001, 150000)"), "id", "f"))
+    # c1 to c99999 occur twice; ties in alphabetical order; nulls share the place after the last.
+    assert index[1][1] == 0.0 and index[0][1] == index[150000][1] == 199_800.0
+    assert index[1][2] == 1.0 and index[3][2] == 0.0
+    save_model(stages, str(tmp_path / "stages"))
+    save_model(stages, str(tmp_path / "stages"))
+    loaded = PipelineModel.load(str(tmp_path / "stages"))
+    again = loaded.transform(df).select("id", ml.vector_to_array("features_raw").alias("g"))
+    assert made.join(again, "id").filter("f <> g").isEmpty()
+    unseen = loaded.transform(df.limit(1).withColumn("c", F.lit("new")))
+    assert unseen.select("c_idx").first()[0] == 199_800.0
+
+
+def test_index_equals_string_indexer(spark):
+    df = spark.createDataFrame([("b", 1), ("a", 1), ("b", 2), ("c", 10), ("a", None), (None, 2), ("é", 2)], "s string, n int")
+    own = CategoryIndex(inputCols=["s", "n"], outputCols=["s_idx", "n_idx"]).fit(df).transform(df)
+    theirs = StringIndexer(inputCols=["s", "n"], outputCols=["s_idx", "n_idx"], handleInvalid="keep").fit(df).transform(df)
+    assert sorted(rows(own), key=str) == sorted(rows(theirs), key=str)
+    empty = CategoryIndex(inputCols=["s"], outputCols=["i"]).fit(df.filter("false"))
+    assert set(rows(empty.transform(df), "i")) == {(0.0,)}
+
+
+@pytest.mark.parametrize("kind", ["dt", "rf", "gbt"])
+def test_node_tables_score_like_the_model(spark, prepared, both_plans, kind, tmp_path):
+    train, test = prepared
+    model = {"dt": lambda: ml.fit_dt(train, depth=4), "rf": lambda: ml.fit_rf(train, trees=7, depth=5),
+             "gbt": lambda: ml.fit_gbt(train, depth=3, iterations=4)}[kind]()
+    trees = mt.tree_nodes(model, spark)
+    scores = mt.tree_scores(trees, test, ["id"])
+    both = model.transform(test).join(scores, "id")
+    assert both.count() == test.count()
+    assert both.filter(F.abs(ml.prob1("probability") - F.col("prob_walked")) > 1e-9).isEmpty()
+    own = dict(rows(mt.node_importances(trees, ml.feature_names(NUMERIC, CATEGORIES))))
+    for name, value in rows(ml.importances(model, train, ml.feature_names(NUMERIC, CATEGORIES))):
+        assert own[name] == pytest.approx(value, abs=1e-9)
+    if kind == "dt":
+        reached = mt.leaves(trees, train, ["id", "label"]).groupBy("prediction", "stats").agg({"label": "sum", "id": "count"})
+        assert all(r["count(id)"] % sum(r.stats) == 0 and r["sum(label)"] * sum(r.stats) == r["count(id)"] * r.stats[1] for r in reached.collect())
+
+
+def test_categorical_splits_walk_like_the_model(spark):
+    df = spark.range(600).select(
+        "id", F.concat(F.lit("k"), F.col("id") % 7).alias("k"), (F.col("id") % 7).isin(1, 3, 6).cast("double").alias("label")
+    )
+    indexed = StringIndexer(inputCol="k", outputCol="i").fit(df).transform(df)
+    ready = ml.assemble(indexed, ["i"], name="features")
+    model = ml.fit_rf(ready, trees=3, depth=3)
+    trees = mt.tree_nodes(model, spark)
+    assert not trees.nodes.filter("categories is not null").isEmpty()
+    both = model.transform(ready).join(mt.tree_scores(trees, ready, ["id"]), "id")
+    assert both.filter(F.abs(ml.prob1("probability") - F.col("prob_walked")) > 1e-9).isEmpty()
+
+
+def test_gradient_is_flat_only_at_the_optimum(spark, prepared):
+    train, test = prepared
+    names = ml.feature_names(NUMERIC, CATEGORIES)
+    weighted = train.withColumn("w", F.when(F.col("label") == 1, 2.0).otherwise(0.5))
+    for rows_, weight, reg in ((train, None, 0.01), (weighted, "w", 0.1)):
+        model = ml.logistic(weight, reg=reg, iterations=100).fit(rows_)
+        table = mt.coefficients(model, names, spark)
+        slopes = dict(rows(mt.loss_gradient(table, rows_, reg, weight, key="id")))
+        assert len(slopes) == len(names) + 1 and max(map(abs, slopes.values())) < 1e-4
+        moved = table.withColumn("coefficient", F.col("coefficient") + F.when(F.col("place") == 0, 0.1).otherwise(0.0))
+        assert abs(dict(rows(mt.loss_gradient(moved, rows_, reg, weight, key="id")))["hour"]) > 1e-3
+    model = ml.fit_lr(train)
+    found = mt.margins(mt.coefficients(model, names, spark), test, ["id"])
+    both = model.transform(test).join(found, "id")
+    assert both.filter(F.abs(ml.prob1("rawPrediction") - F.col("margin")) > 1e-9).isEmpty()
+
+
+def test_stack_saves_and_loads(spark, prepared, tmp_path):
+    train, test = prepared
+    forest = ml.random_forest(trees=5, depth=3).setProbabilityCol("rf_prob")
+    estimator = ml.stack(forest)
+    save_model(estimator, str(tmp_path / "plan"))
+    model = ml.Stack.load(str(tmp_path / "plan")).fit(train)
+    stages = PipelineModel([model])
+    save_model(stages, str(tmp_path / "model"))
+    loaded = PipelineModel.load(str(tmp_path / "model"))
+    a, b = (m.transform(test).select("id", "stack_prob", "stack_pred") for m in (model, loaded))
+    assert sorted(rows(a), key=lambda r: r[0]) == sorted(rows(b), key=lambda r: r[0])
+    check(ml.evaluate(a.join(test, "id").withColumnRenamed("stack_prob", "raw"), "stack_pred", "raw"))
+
+
+def test_evaluate_counts_the_confusion(prepared):
+    _, preds, metrics = ml.train_and_eval(ml.decision_tree(3), *prepared)
+    row = metrics.first()
+    assert row.tp + row.fn == preds.filter("label = 1").count()
+    assert row.tp == preds.filter("label = 1 and prediction = 1").count()
+    assert row.accuracy == pytest.approx((row.tp + row.tn) / preds.count())
 
 
 def test_design_matrix_places(spark):
