@@ -7,13 +7,16 @@ scanned, then what it holds encoded becomes further layers: the layer with its p
 decoded, the layer with its Unicode escapes decoded, each stretch of text that a base64 run decodes to, and
 the gzip, zlib, bzip2 or xz data that a run decodes to. Lines of base64 are also taken together as one run.
 A run is decoded from each of its first four characters, so what stands before the encoded part does not
-hide it, and packed data is found at any place of it. The list ends when nothing is left to decode. A layer
-equal to one of those it was decoded from is a cycle and is not followed.
+hide it, and packed data is found at any place of it. The list ends when nothing new is left to decode: one
+set for the whole text has the layers that are done, by their characters and places, so a layer that is
+reached on several ways, or again in a cycle, is scanned once.
 
-Every layer can map its spans to its parent's, hence a secret found at any depth gets its place in the
-text, in code points with the end exclusive: the encoded characters themselves, or the whole run where
-the data is compressed. Compressed data is unpacked in windows that overlap, so memory stays bounded
-whatever its ratio; a secret longer than the overlap may be cut there.
+Every layer knows the place of its characters in the text, hence a secret found at any depth gets its own,
+in code points with the end exclusive: the encoded characters themselves, or the whole run where the data
+is compressed. Layers are made one at a time and compressed data is unpacked in windows that overlap, so
+memory stays bounded whatever its ratio; an encoded run goes whole into the next window, up to UNPACKED. A
+longer one, or a secret longer than the overlap, may be cut there. Xz data whose dictionary needs more than
+256 MB is not unpacked; its run is scanned as it stands.
 
 Null and empty texts hold no secret. Spans found twice are given once.
 """
@@ -64,11 +67,41 @@ URL_SAFE = str.maketrans("-_", "+/")
 #: Unpacked bytes scanned at once, and how much of a window is repeated in the next.
 UNPACKED, OVERLAP = 4_000_000, 100_000
 
-#: Maps a span of a layer to a span of the text.
-Locate = Callable[[int, int], tuple[int, int]]
 Span = tuple[str, int, int]
 
 
+class Places:
+    """Where each character of a layer lies in the text: `begins[i]` to `stops[i]`, or all in one span."""
+
+    def __init__(self, begins, stops):
+        self.begins, self.stops = begins, stops
+
+    @classmethod
+    def of_text(cls, text: str) -> Places:
+        at = np.arange(len(text) + 1, dtype=np.int32)
+        return cls(at[:-1], at[1:])
+
+    def span(self, a: int, b: int) -> tuple[int, int]:
+        if isinstance(self.begins, int):
+            return self.begins, self.stops
+        return int(self.begins[a]), int(self.stops[b - 1])
+
+    def taken(self, first: np.ndarray, last: np.ndarray) -> Places:
+        """Places of characters that come from those at `first` ... `last`."""
+        if isinstance(self.begins, int):
+            return self
+        return Places(self.begins[first], self.stops[last])
+
+    def mark(self) -> bytes:
+        """Bytes that differ for different places."""
+        if isinstance(self.begins, int):
+            return b"%d:%d" % (self.begins, self.stops)
+        return self.begins.tobytes() + self.stops.tobytes()
+
+
+Layer = tuple[str, Places]
+
+
 def _code_points(raw: bytes, text: str) -> Callable[[int], int]:
     """Maps a place in UTF-8 to a place in the text; counts once, when first asked."""
     if len(raw) == len(text):
@@ -103,7 +136,7 @@ def find(text: str) -> list[Span]:
     return found
 
 
-def _replaced(text: str, locate: Locate, pieces: list) -> tuple[str, Locate]:
+def _replaced(text: str, places: Places, pieces: list) -> Layer:
     """A layer with parts replaced; pieces: (start, end, new text, places of its characters)."""
     parts, starts, ends, upto = [], [], [], 0
     for start, end, new, begins, stops in pieces:
@@ -114,11 +147,10 @@ def _replaced(text: str, locate: Locate, pieces: list) -> tuple[str, Locate]:
     parts.append(text[upto:])
     starts.append(np.arange(upto, len(text)))
     ends.append(np.arange(upto + 1, len(text) + 1))
-    first, last = np.concatenate(starts), np.concatenate(ends)
-    return "".join(parts), lambda a, b: locate(int(first[a]), int(last[b - 1]))
+    return "".join(parts), places.taken(np.concatenate(starts), np.concatenate(ends) - 1)
 
 
-def _percent(text: str, locate: Locate) -> tuple[str, Locate] | None:
+def _percent(text: str, places: Places) -> Layer | None:
     if "%" not in text:
         return None
     pieces = []
@@ -131,10 +163,10 @@ def _percent(text: str, locate: Locate) -> tuple[str, Locate] | None:
             new, sizes = data.decode("latin-1"), np.ones(len(data), np.int64)
         stops = m.start() + 3 * np.cumsum(sizes)
         pieces.append((m.start(), m.end(), new, stops - 3 * sizes, stops))
-    return _replaced(text, locate, pieces) if pieces else None
+    return _replaced(text, places, pieces) if pieces else None
 
 
-def _escapes(text: str, locate: Locate) -> tuple[str, Locate] | None:
+def _escapes(text: str, places: Places) -> Layer | None:
     if "\\" not in text and "&#" not in text:
         return None
     pieces = []
@@ -143,7 +175,7 @@ def _escapes(text: str, locate: Locate) -> tuple[str, Locate] | None:
         if code <= 0x10FFFF:
             new = "\ufffd" if 0xD800 <= code < 0xE000 else chr(code)
             pieces.append((m.start(), m.end(), new, [m.start()], [m.end()]))
-    return _replaced(text, locate, pieces) if pieces else None
+    return _replaced(text, places, pieces) if pieces else None
 
 
 def _unpacker(data: bytes):
@@ -158,6 +190,17 @@ def _unpacker(data: bytes):
     return None
 
 
+ALPHABET = np.zeros(256, bool)
+ALPHABET[list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-=\r\n")] = True
+
+
+def _kept(window: bytes) -> int:
+    """Bytes of a window that the next one repeats: the overlap, or a longer run that may go on."""
+    other = np.flatnonzero(~ALPHABET[np.frombuffer(window[-UNPACKED:], np.uint8)])
+    run = min(len(window), UNPACKED) - (int(other[-1]) + 1 if len(other) else 0)
+    return max(OVERLAP, run)
+
+
 def _unpacked(data: bytes) -> Iterator[bytes]:
     """Windows of the unpacked data; damaged data yields what comes before the damage."""
     machine = _unpacker(data)
@@ -171,7 +214,7 @@ def _unpacked(data: bytes) -> Iterator[bytes]:
             window += more
             if len(window) >= UNPACKED:
                 yield window
-                window = window[-OVERLAP:]
+                window = window[-_kept(window) :]
             if not more and not data:
                 break
     except (zlib.error, OSError, EOFError, lzma.LZMAError):
@@ -192,11 +235,11 @@ READABLE = re.compile(
 )
 
 
-def _encoded(text: str) -> Iterator[tuple[str, Callable[[int], int]]]:
-    """Base64 runs, each with the place of its characters in the text."""
+def _encoded(text: str) -> Iterator[tuple[str, np.ndarray]]:
+    """Base64 runs, each with the place of its characters in the layer."""
     for m in BASE64.finditer(text):
         if not WORD.match(m[0]):
-            yield m[0], lambda i, start=m.start(): start + i
+            yield m[0], np.arange(m.start(), m.end())
     for m in WRAPPED.finditer(text):
         parts, places, upto = [], [], m.start()
         for end in LINE_END.finditer(text, m.start(), m.end()):
@@ -204,62 +247,75 @@ def _encoded(text: str) -> Iterator[tuple[str, Callable[[int], int]]]:
             places.append(np.arange(upto, end.start()))
             upto = end.end()
         parts.append(text[upto : m.end()])
-        places = np.concatenate([*places, np.arange(upto, m.end())])
-        yield "".join(parts), lambda i, places=places: int(places[i])
+        yield "".join(parts), np.concatenate([*places, np.arange(upto, m.end())])
 
 
-def _runs(text: str, locate: Locate) -> Iterator[tuple[str, Locate]]:
+def _runs(text: str, places: Places) -> Iterator[Layer]:
     """Layers out of the base64 runs of a layer."""
-    for found, place in _encoded(text):
+    for found, at in _encoded(text):
         found = found.translate(URL_SAFE)
         for first in range(4):
             run = found[first:]
             if len(run) % 4 == 1:
                 run = run[:-1]
             data = base64.b64decode(run + "=" * (-len(run) % 4))
+            size = len(run)
 
-            def span(a: int, b: int, first=first, place=place, size=len(run)) -> tuple[int, int]:
-                """Characters that hold the bytes a ... b."""
-                return place(first + a * 4 // 3), place(first + min(size, -(-b * 4 // 3)) - 1) + 1
+            def held(begins, ends, first=first, at=at, size=size) -> tuple[np.ndarray, np.ndarray]:
+                """First and last character that hold the bytes begins ... ends."""
+                last = np.minimum(size, -(-np.asarray(ends) * 4 // 3)) - 1
+                return at[first + np.asarray(begins) * 4 // 3], at[first + last]
 
-            begins = {m.start() for m in PACKED.finditer(data)} | ({0} if _unpacker(data) else set())
-            for begin in sorted(begins):
-                whole = locate(*span(begin, len(data)))
+            packed = {m.start() for m in PACKED.finditer(data)} | ({0} if _unpacker(data) else set())
+            for begin in sorted(packed):
+                a, b = held(begin, len(data))
+                whole = Places(*places.span(int(a), int(b) + 1))
                 for window in _unpacked(data[begin:]):
-                    yield window.decode("utf-8", "replace"), lambda a, b, whole=whole: whole
+                    yield window.decode("utf-8", "replace"), whole
             for m in READABLE.finditer(data):
                 new = m[0].decode()
-                at = _bytes_of(m[0], new)
-                yield new, lambda a, b, at=at, base=m.start(), span=span: locate(*span(base + at(a), base + at(b)))
+                ends = m.start() + _ends(m[0], new)
+                yield new, places.taken(*held(ends[:-1], ends[1:]))
 
 
-def _bytes_of(data: bytes, text: str) -> Callable[[int], int]:
-    """Maps a place in a text to a place in its UTF-8."""
+def _ends(data: bytes, text: str) -> np.ndarray:
+    """Places in UTF-8 of the borders of a text's characters."""
     if len(data) == len(text):
-        return lambda at: at
-    ends = np.concatenate([[0], np.cumsum([len(c.encode()) for c in text])])
-    return lambda at: int(ends[at])
+        return np.arange(len(text) + 1)
+    starts = np.flatnonzero((np.frombuffer(data, np.uint8) & 0xC0) != 0x80)
+    return np.append(starts, len(data))
+
+
+def _further(text: str, places: Places) -> Iterator[Layer]:
+    """What a layer holds encoded, one layer at a time."""
+    for made in (_percent(text, places), _escapes(text, places)):
+        if made:
+            yield made
+    yield from _runs(text, places)
 
 
 def spans(text: str | None) -> list[tuple[str, int, int, int]]:
-    """All secrets of a text: kind, start, end and the depth of the layer, 0 for the text itself."""
+    """All secrets of a text: kind, start, end and the least depth of a layer with it, 0 for the text itself."""
     if not text:
         return []
     found: dict[Span, int] = {}
-    work: list[tuple[str, Locate, tuple]] = [(text, lambda a, b: (a, b), ())]
+    done: dict[bytes, int] = {}
+    work: list[Iterator[Layer]] = [iter([(text, Places.of_text(text))])]
     while work:
-        layer, locate, above = work.pop()
-        depth = len(above)
+        layer, places = next(work[-1], (None, None))
+        if layer is None:
+            work.pop()
+            continue
+        depth = len(work) - 1
+        key = hashlib.blake2b(layer.encode("utf-8", "replace"), digest_size=20)
+        key.update(b"\xff" + places.mark())
+        if done.get(key.digest(), depth + 1) <= depth:
+            continue
+        done[key.digest()] = depth
         for kind, a, b in find(layer):
-            span = (kind, *locate(a, b))
+            span = (kind, *places.span(a, b))
             found[span] = min(depth, found.get(span, depth))
-        further = [_percent(layer, locate), _escapes(layer, locate), *_runs(layer, locate)]
-        further = [x for x in further if x]
-        if further:
-            chain = (*above, hashlib.blake2b(layer.encode("utf-8", "replace")).digest())
-            for new, its in further:
-                if hashlib.blake2b(new.encode("utf-8", "replace")).digest() not in chain:
-                    work.append((new, its, chain))
+        work.append(_further(layer, places))
     order = {kind: i for i, kind in enumerate(KINDS)}
     ranked = sorted(found.items(), key=lambda x: (x[0][1], order[x[0][0]], x[0][2]))
     return [(*span, depth) for span, depth in ranked]

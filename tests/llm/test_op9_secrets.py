@@ -10,6 +10,8 @@ import time
 import urllib.parse
 import zlib
 
+import pytest
+
 from kerbline.llm import op9_secrets as op
 
 FOLDER = "/root/testdata/sf0.01"
@@ -141,3 +143,42 @@ def test_secret_beside_other_bytes():
     for other in (b"\x00", b"\xff\xfe\x01", b"\x1b[0m"):
         for data in (other + b"token=abcdefgh ", b" token=abcdefgh " + other, other + b"\xc3\xa9 token=abcdefgh " + other):
             assert [s[0] for s in op.spans(b64(data))] == ["assign"], data
+
+
+def nested(k):
+    """Two kinds of encoding, each k layers deep, side by side."""
+    return "%" + "25" * k + "41 " + "\\u005c" + "u005c" * (k - 1) + "u0041"
+
+
+def exhaustive(text):
+    """Every order of unwrapping, without a memory of layers."""
+    found, work = {}, [(text, op.Places.of_text(text), 0)]
+    while work:
+        layer, places, depth = work.pop()
+        for kind, a, b in op.find(layer):
+            span = (kind, *places.span(a, b))
+            found[span] = min(depth, found.get(span, depth))
+        work += [(new, its, depth + 1) for new, its in op._further(layer, places)]
+    return sorted((*span, depth) for span, depth in found.items())
+
+
+@pytest.mark.parametrize("k", [1, 3, 5, 6])
+def test_fixpoint_equals_an_exhaustive_walk(k):
+    secret = base64.b64encode(b"password=hunter2hunter2 AKIA" + b"Q" * 20).decode()
+    for text in (nested(k), f"token%{'25' * (k - 1)}3Dabcdef12 {nested(k)}", f"{secret} %{'25' * (k % 4)}41 {secret}"):
+        assert sorted(op.spans(text)) == exhaustive(text)
+
+
+def test_mixed_nesting_ends_soon():
+    began = time.time()
+    assert {s[0] for s in op.spans(nested(40))} == {"hex"}  # the digits of the escapes
+    assert "assign" in {s[0] for s in op.spans("secret%" + "25" * 20 + "3Dabcdefgh " + nested(20))}
+    assert time.time() - began < 5
+
+
+def test_long_runs_cross_windows():
+    """A run of base64 in unpacked data, longer than the overlap, over a window's border."""
+    inner = base64.b64encode(b"x y " * 60_000 + b"password=hunter2hunter2").decode()
+    data = ("word " * ((op.UNPACKED - len(inner) // 2) // 5) + inner + " end").encode()
+    text = "see " + base64.b64encode(gzip.compress(data)).decode()
+    assert "assign" in {s[0] for s in op.spans(text)}
