@@ -23,13 +23,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kerbline.llm.op11_tiktoken import ids_of
+
 NAME = "op10_packing"
 LENGTH = 8192
 #: Tokens packed together.
 GROUP = 512 * LENGTH
 KIND = "<u2"
-# Fixed values of the byte-level ids: padding, end of a text, and what is added to a byte.
-PAD, END, SHIFT = 0, 1, 3
+#: The id that the vocabulary leaves free ends a text; it also fills rows.
+END = PAD = 50_256
 
 
 class Rooms:
@@ -186,16 +188,12 @@ def write(packed: DataFrame, path: str) -> None:
     packed.write.option("compression", "zstd").parquet(path)
 
 
-def byte_ids(text: str | None) -> np.ndarray:
-    """Byte-level ids of a text, 16 bits wide: every UTF-8 byte plus 3, then the end id 1."""
-    data = np.frombuffer((text or "").encode(), np.uint8)
-    ids = np.empty(len(data) + 1, KIND)
-    np.add(data, SHIFT, out=ids[:-1], dtype=KIND)
-    ids[-1] = END
-    return ids
+def bpe_ids(text: str | None) -> np.ndarray:
+    """Byte-level BPE ids of a text, 16 bits wide, then the end id."""
+    return np.array([*ids_of(text or ""), END], KIND)
 
 
 def query(spark: SparkSession, folder: str) -> DataFrame:
-    """All documents, as byte-level ids, in packed rows."""
+    """All documents, as BPE ids with an end id each, in packed rows."""
     docs = spark.read.parquet(f"{folder}/documents.parquet")
-    return pack(docs, F.col("text"), tokenise=byte_ids)
+    return pack(docs, F.col("text"), tokenise=bpe_ids)
