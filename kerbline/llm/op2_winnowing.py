@@ -278,9 +278,10 @@ def scan(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents that are not contaminated, with their columns."""
-    bad = scan(docs, benchmark).filter("contaminated").select("text_key").distinct()
-    return attach(keyed(docs), bad, ["text_key"], "left_anti").select(*docs.columns)
+    """The documents that are not contaminated, with their columns, whatever these are called."""
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "doc_id", "text")
+    bad = scan(rows, benchmark).filter("contaminated").select("text_key").distinct()
+    return attach(keyed(rows), bad, ["text_key"], "left_anti").select("row.*")
 
 
 def query(spark: SparkSession, folder: str) -> DataFrame:

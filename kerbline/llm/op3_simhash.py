@@ -199,11 +199,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:
-    """One row of each group, that with the smallest id (null last); all columns stay."""
-    marked = docs.withColumn(FP, fingerprints(F.col("text"))).withColumn(
-        ROW, F.monotonically_increasing_id()
+    """One row of each group, that with the smallest id (null last); all columns stay, whatever their names."""
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    held = durable(
+        docs.select(whole, "doc_id", fingerprints(F.col("text")).alias(FP), F.monotonically_increasing_id().alias(ROW))
     )
-    held = durable(marked)
     first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", ROW)
     kept = (
         grouped(held.select("doc_id", ROW, FP))
@@ -211,7 +211,7 @@ def deduplicate(docs: DataFrame) -> DataFrame:
         .agg(F.min(first).alias("first"))
         .select(F.col(f"first.{ROW}").alias(ROW))
     )
-    return attach(held, kept, [ROW], "left_semi").select(*docs.columns)
+    return attach(held, kept, [ROW], "left_semi").select("row.*")
 
 
 def query(spark: SparkSession, folder: str) -> DataFrame:

@@ -406,7 +406,6 @@ def _joined_measures(docs: DataFrame, held: Tables, own: list[str]) -> DataFrame
     spelled = blocks.select("_block", "text").mapInArrow(spell, "of long, half int, gram long")
     asked = held.grams.select((1 - F.col("half")).alias("half"), "gram")
     facts = spelled.join(probabilities(held, asked)[ORDER], ["half", "gram"])
-    names = [c.strip("`") for c in own]
 
     def total(left: pa.Table, right: pa.Table) -> pa.Table:
         half, gram, p = (right[c].to_numpy() for c in ("half", "gram", "p"))
@@ -422,12 +421,12 @@ def _joined_measures(docs: DataFrame, held: Tables, own: list[str]) -> DataFrame
                 raise ValueError("a 5-gram of a block has no probability")
             return values[at]
 
-        out = left.select(names)
+        out = left.select(own)
         for name, values_of in zip(NAMES, _measured(left["text"].combine_chunks(), logs), strict=True):
             out = out.append_column(name, values_of)
         return out
 
-    schema = StructType([docs.schema[c] for c in names] + StructType.fromDDL(MEASURES).fields)
+    schema = StructType([docs.schema[c] for c in own] + StructType.fromDDL(MEASURES).fields)
     return blocks.groupBy("_block").cogroup(facts.groupBy("of")).applyInArrow(total, schema)
 
 
@@ -447,28 +446,28 @@ def bands(measured: DataFrame) -> DataFrame:
 def judged(docs: DataFrame, keep_text: bool = True) -> DataFrame:
     """Documents (doc_id, text, lang) with the measures, base_failed, low, high and kept.
 
-    Columns of these names are replaced; `lang` is a text or null.
+    Columns of these names are replaced, all others stay, whatever their names; `lang` is a text or null.
     """
-    spark, held = docs.sparkSession, tables(docs)
-    own = [f"`{c}`" for c in docs.columns if c not in (*NAMES, "base_failed", "low", "high", "kept", "_m")]
-    if not keep_text:
-        own.remove("`text`")
+    spark = docs.sparkSession
+    made = [*NAMES, "base_failed", "low", "high", "kept"]
+    dropped = made if keep_text else [*made, "text"]
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in dropped]).alias("row")
+    plain = docs.select(row, "text", "lang")
+    held = tables(plain)
     failed = f"n_words < {LEAST_WORDS} OR 100 * n_repeat_words > {MOST_REPEATED} * n_words"
     if held.rows <= limit(spark, "modelRows"):
         models = spark.sparkContext.broadcast(_fetched(held))
-        found = docs.withColumn("_m", measures(F.col("text"), models)).select(*own, "_m.*")
+        found = plain.select("row", "lang", measures(F.col("text"), models).alias("m")).select("row", "lang", "m.*")
     else:
-        found = _joined_measures(docs, held, own)
-    measured = durable(found.withColumn("base_failed", F.expr(failed)))
+        found = _joined_measures(plain, held, ["row", "lang"])
     # An empty name stands for no language, so that nulls meet in the join.
-    named = measured.withColumn("_lang", F.coalesce("lang", F.lit("")))
-    limits = bands(named.drop("lang").withColumnRenamed("_lang", "lang")).withColumnRenamed("lang", "_lang")
+    measured = durable(found.withColumns({"lang": F.coalesce("lang", F.lit("")), "base_failed": F.expr(failed)}))
     reach = F.expr(f"_reach * (1 + sqrt({FEW} / greatest(n_words, 1)))")
     return (
-        attach(named, limits, ["_lang"])
+        attach(measured, bands(measured), ["lang"])
         .withColumns({"low": F.col("_low") - reach, "high": F.col("_high") + reach})
-        .drop("_lang", "_low", "_high", "_reach")
         .withColumn("kept", F.expr("NOT base_failed AND coalesce(nats BETWEEN low AND high, true)"))
+        .select("row.*", *made)
     )
 
 
