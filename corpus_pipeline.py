@@ -37,10 +37,11 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents with the digests and the number of their tokens."""
-    coded = op8_bpe.decode(op8_bpe.encode(docs.drop("token_ids", "decoded")))
+    """All documents with the digests and the number of their tokens, which replace columns of these names."""
+    kept = [F.col(f"`{c}`") for c in docs.columns if c not in ("n_tokens", "ids_sha256", "decoded_sha256")]
+    coded = op8_bpe.decode(op8_bpe.encode(docs.select(F.struct(*kept).alias("row"), "text")))
     return coded.select(
-        *[f"`{c}`" for c in docs.columns if c not in ("n_tokens", "ids_sha256", "decoded_sha256")],
+        "row.*",
         F.expr("octet_length(token_ids) div 4").cast("long").alias("n_tokens"),
         F.sha2("token_ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
