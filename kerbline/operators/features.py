@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from kerbline.functions import calendar
 from kerbline.plans.durable import attach, durable
-from kerbline.plans.limits import distinct_estimate, limit, table_bytes
-from kerbline.plans.quantiles import quantiles
+from kerbline.plans.limits import limit, table_bytes
+from kerbline.plans.quantiles import count_values, quantile_values, quantiles_of
 from kerbline.plans.slices import positions
 
 OTHER = "_OTHER"
@@ -99,14 +99,13 @@ def impute_duration(
     df: DataFrame, column: str = "duration_min", street: str = "street_marker"
 ) -> DataFrame:
     """`duration_min_imp`: the value, else the median of its street, else of all rows."""
-    distinct = distinct_estimate(df, column)
-    local = quantiles(df.filter(F.col(street).isNotNull()), column, [0.5], [street], distinct=distinct)
-    overall = quantiles(df, column, [0.5], distinct=distinct)
+    # One table of counted values serves the streets and, added up, all rows.
+    counts = count_values(df, column, [street])
+    local = quantiles_of(counts.filter(F.col(street).isNotNull()), [0.5], [street])
+    (overall,) = quantile_values(counts.groupBy("_x").agg(F.sum("_n").alias("_n")), [0.5])
     filled = attach(df, local.select(street, F.col("q")[0].alias("_median")), [street])
-    return filled.withColumn(
-        "duration_min_imp",
-        F.coalesce(F.col(column), "_median", overall.select(F.col("q")[0]).scalar()),
-    ).drop("_median")
+    value = F.coalesce(F.col(column), "_median", F.lit(overall).cast("double"))
+    return filled.withColumn("duration_min_imp", value).drop("_median")
 
 
 def lump_rare(

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from kerbline.functions.times import micros
 from kerbline.plans.durable import attach, durable
-from kerbline.plans.limits import heaviest_key
-from kerbline.plans.slices import next_values, ordered_frames, running_sums
+from kerbline.plans.limits import heaviest_key, limit
+from kerbline.plans.slices import next_values, ordered_frames, running_sums, wide_means
 
 BY = ("device_id",)
 ORDER = ("event_time", "event_id")
@@ -51,9 +51,14 @@ def rolling_occ(
     order: Sequence[str] = ORDER,
     past_only: bool = False,
 ) -> DataFrame:
-    """Mean over the last `n` events: with the row itself for reports, before it for training."""
+    """Mean over the last `n` events: with the row itself for reports, before it for training.
+
+    A frame wider than the limit comes from running sums, any other from a window.
+    """
     first, last = (-n, -1) if past_only else (1 - n, 0)
     name = f"rolling_occ_past{n}" if past_only else f"rolling_occ_N{n}"
+    if n > limit(df.sparkSession, "frameRows"):
+        return wide_means(df, by, _order(df, order), column, name, -first, -last)
 
     def build(w):
         return {name: F.avg(column).over(w.rowsBetween(first, last))}
@@ -65,6 +70,10 @@ def arrivals_n(
     df: DataFrame, n: int = 10, by: Sequence[str] = BY, order: Sequence[str] = ORDER
 ) -> DataFrame:
     """Events of the device among its last `n`, the row included: the running position up to `n`."""
+    if n > limit(df.sparkSession, "frameRows") and heaviest_key(df, by) > limit(df.sparkSession, "keyRows"):
+        keyed = df.withColumn("_key", F.to_json(F.struct(*by), {"ignoreNullFields": "false"}))
+        placed = running_sums(keyed, ["_key"], [*by, *_order(df, order)], {"_at": F.lit(1)})
+        return placed.select(*df.columns, F.least("_at", F.lit(n)).cast("int").alias(f"arrivals_N{n}"))
 
     def build(w):
         seen = F.count(F.lit(1)).over(w.rowsBetween(1 - n, 0))

@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 
 from kerbline.functions import hashing
 from kerbline.functions.times import micros
-from kerbline.plans.durable import attach
+from kerbline.plans.durable import attach, durable
+from kerbline.plans.limits import limit
 from kerbline.plans.quantiles import quantiles
 
-# Hexadecimal digits of the digest that the sample's histogram counts: 16**5 cells per class.
+# Hexadecimal digits of a digest, and how many of them a histogram of the sample counts: 16**5 cells per class.
+DIGITS = 32
 PREFIX = 5
 
 
@@ -36,34 +38,43 @@ def balanced_sample(
     """The same number of rows of every class: `k`, or the size of the smallest class.
 
     Rows are taken in the order of a digest of `key`, which has to be unique. A histogram of digest
-    prefixes tells in which cell each class reaches its number; cells before it are taken whole, and
-    only inside a cell are rows ranked.
+    prefixes tells in which cell each class reaches its number. Cells before it are taken whole. Only the
+    rows of that cell are ranked, after it has been cut by further digits if it is large.
     """
     known = df.filter(F.col(class_col).isNotNull())
-    marked = known.withColumn("_digest", hashing.digest(F.col(key), seed)).withColumn(
-        "_cell", F.substring("_digest", 1, PREFIX)
+    marked = known.withColumn("_digest", hashing.digest(F.col(key), seed))
+    sizes = known.groupBy(class_col).count()
+    wanted = sizes.agg(F.least(F.min("count"), F.lit(k))).first()[0] or 0
+    open_cells = sizes.select(class_col, F.lit("").alias("_cell"), F.lit(wanted).cast("long").alias("_open"), "count")
+    taken = []
+    for begin in range(0, DIGITS, PREFIX):
+        if begin and (open_cells.agg(F.max("count")).first()[0] or 0) <= limit(df.sparkSession, "keyRows"):
+            break
+        before, open_cells = _cells(marked, class_col, open_cells, begin + PREFIX)
+        taken.append(before.select(*df.columns))
+    inside = _inside(marked, class_col, open_cells)
+    place = F.row_number().over(Window.partitionBy(class_col).orderBy("_digest", key))
+    last = inside.withColumn("_place", place).filter(F.col("_place") <= F.col("_open"))
+    return reduce(DataFrame.unionByName, [*taken, last.select(*df.columns)])
+
+
+def _inside(marked: DataFrame, class_col: str, cells: DataFrame) -> DataFrame:
+    """Rows in the open cell of their class."""
+    return attach(marked, cells.drop("count"), [class_col], "inner").filter(F.col("_digest").startswith(F.col("_cell")))
+
+
+def _cells(marked: DataFrame, class_col: str, cells: DataFrame, digits: int) -> tuple[DataFrame, DataFrame]:
+    """Cut each open cell by further digits: the rows of cells taken whole, and the cells that stay open."""
+    inside = _inside(marked, class_col, cells).withColumn("_finer", F.substring("_digest", 1, digits))
+    counts = inside.groupBy(class_col, "_finer", "_open").agg(F.count(F.lit(1)).alias("_n"))
+    upto = F.sum("_n").over(Window.partitionBy(class_col).orderBy("_finer"))
+    last = durable(
+        counts.withColumn("_before", upto - F.col("_n"))
+        .filter((F.col("_before") < F.col("_open")) & (F.col("_before") + F.col("_n") >= F.col("_open")))
+        .select(class_col, F.col("_finer").alias("_cell"), (F.col("_open") - F.col("_before")).alias("_open"), F.col("_n").alias("count"))
     )
-    cells = marked.groupBy(class_col, "_cell").agg(F.count(F.lit(1)).alias("_n"))
-    upto = F.sum("_n").over(Window.partitionBy(class_col).orderBy("_cell"))
-    wanted = (
-        cells.groupBy(class_col)
-        .agg(F.sum("_n").alias("_size"))
-        .agg(F.least(F.min("_size"), F.lit(k)))
-        .scalar()
-    )
-    last = (
-        cells.withColumn("_upto", upto)
-        .filter(F.col("_upto") >= wanted)
-        .groupBy(class_col)
-        .agg(
-            F.min("_cell").alias("_last"),
-            (wanted - F.min(F.col("_upto") - F.col("_n"))).alias("_open"),
-        )
-    )
-    near = attach(marked, last, [class_col], "inner").filter(F.col("_cell") <= F.col("_last"))
-    place = F.row_number().over(Window.partitionBy(class_col, "_cell").orderBy("_digest", key))
-    taken = (F.col("_cell") < F.col("_last")) | (F.col("_place") <= F.col("_open"))
-    return near.withColumn("_place", place).filter(taken).select(*df.columns)
+    bounds = last.select(class_col, F.col("_cell").alias("_last"))
+    return attach(inside, bounds, [class_col], "inner").filter(F.col("_finer") < F.col("_last")), last
 
 
 def shuffle_rows(df: DataFrame, key: str, seed: int = 42) -> DataFrame:

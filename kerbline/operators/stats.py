@@ -10,29 +10,25 @@ from pyspark.sql import types as T
 
 from kerbline.functions.texts import NUMBER
 from kerbline.plans.durable import attach
-from kerbline.plans.limits import distinct_estimate
-from kerbline.plans.quantiles import quantiles
+from kerbline.plans.quantiles import count_values, quantile_values, quantiles
 
 ROBUST = 0.6745
 
 
 def describe_duration(df: DataFrame, column: str = "duration_min") -> DataFrame:
-    """One row: count, mean, std, min, p50, p90, p95, p99, max."""
-    q = quantiles(df, column, [0.5, 0.9, 0.95, 0.99]).select("q").scalar()
-    basic = df.agg(
-        F.count(column).alias("count"),
-        F.avg(column).alias("mean"),
-        F.stddev_samp(column).alias("std"),
-        F.min(column).alias("min"),
-        F.max(column).alias("max"),
-    ).withColumn("_q", q)
-    return basic.select(
-        "count", "mean", "std", "min",
-        F.col("_q")[0].alias("p50"),
-        F.col("_q")[1].alias("p90"),
-        F.col("_q")[2].alias("p95"),
-        F.col("_q")[3].alias("p99"),
-        "max",
+    """One row: count, mean, std, min, p50, p90, p95, p99, max; the rows are read once, their values counted."""
+    counts = count_values(df, column)
+    p50, p90, p95, p99 = (F.lit(v).cast("double") for v in quantile_values(counts, [0.5, 0.9, 0.95, 0.99]))
+    mean = counts.agg(F.sum(F.col("_x") * F.col("_n")) / F.sum("_n")).first()[0]
+    off = F.col("_x") - F.lit(mean).cast("double")
+    n = F.sum("_n")
+    return counts.agg(
+        F.coalesce(n, F.lit(0)).alias("count"),
+        F.lit(mean).cast("double").alias("mean"),
+        F.when(n > 1, F.sqrt(F.sum(off * off * F.col("_n")) / (n - 1))).alias("std"),
+        F.min("_x").alias("min"),
+        p50.alias("p50"), p90.alias("p90"), p95.alias("p95"), p99.alias("p99"),
+        F.max("_x").alias("max"),
     )
 
 
@@ -137,22 +133,25 @@ def winsorize(
     accuracy: int | None = None,
 ) -> DataFrame:
     """`<column>_w`: values beyond the two quantiles moved onto them; null stays null."""
-    edges = quantiles(df, column, [low, high], accuracy=accuracy).select("q").scalar()
-    bounded = df.withColumn("_edges", edges)
-    clipped = F.least(F.greatest(F.col(column), F.col("_edges")[0]), F.col("_edges")[1])
-    value = F.when(F.col(column).isNotNull(), clipped)
-    return bounded.withColumn(name or f"{column}_w", value).drop("_edges")
+    if accuracy is None:
+        least, most = quantile_values(count_values(df, column), [low, high])
+    else:
+        least, most = (quantiles(df, column, [low, high], accuracy=accuracy).first().q or [None, None])
+    clipped = F.least(F.greatest(F.col(column), F.lit(least).cast("double")), F.lit(most).cast("double"))
+    return df.withColumn(name or f"{column}_w", F.when(F.col(column).isNotNull(), clipped))
 
 
 def robust_z(df: DataFrame, column: str = "duration_min", name: str | None = None) -> DataFrame:
-    """`<column>_robust_z` from the median and the median absolute deviation (0 counts as 1)."""
-    # the deviations have no more distinct values than the column
-    distinct = distinct_estimate(df, column)
-    median = quantiles(df, column, [0.5], distinct=distinct).select(F.col("q")[0]).scalar()
-    centred = df.withColumn("_off", F.col(column) - median)
-    spread = quantiles(centred.withColumn("_abs", F.abs("_off")), "_abs", [0.5], distinct=distinct)
-    mad = spread.select(F.coalesce(F.nullif(F.col("q")[0], F.lit(0.0)), F.lit(1.0))).scalar()
-    return centred.withColumn(name or f"{column}_robust_z", ROBUST * F.col("_off") / mad).drop("_off")
+    """`<column>_robust_z` from the median and the median absolute deviation (0 counts as 1).
+
+    Both come from one table of counted values: the deviations are those of the values, counted alike.
+    """
+    counts = count_values(df, column)
+    (median,) = quantile_values(counts, [0.5])
+    middle = F.lit(median).cast("double")
+    apart = counts.select(F.abs(F.col("_x") - middle).alias("_x"), "_n").groupBy("_x").agg(F.sum("_n").alias("_n"))
+    (mad,) = quantile_values(apart, [0.5])
+    return df.withColumn(name or f"{column}_robust_z", ROBUST * (F.col(column) - middle) / F.lit(mad or 1.0))
 
 
 def sigma_outlier(

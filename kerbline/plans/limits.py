@@ -16,6 +16,8 @@ DEFAULTS = {
     "broadcastBytes": 8_000_000,
     # rows of one key that a single task may order
     "keyRows": 5_000_000,
+    # rows a window frame may span; wider means come from running sums
+    "frameRows": 1_000,
     # distinct values the buffer of an exact percentile may hold
     "distinctValues": 500_000,
     # n-grams of a model that is sent to every task

@@ -45,6 +45,32 @@ def quantiles(
     return _by_rank(counts, probs, by)
 
 
+def count_values(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
+    """How often each value occurs, per key: `by` columns, `_x`, `_n`; kept, so that it is counted once.
+
+    Every statistic of a column that needs its order can be read off this table: quantiles, the median
+    of distances, means. Nulls are left out.
+    """
+    number = F.col(value).cast("double").alias("_x")
+    known = df.filter(F.col(value).isNotNull()).select(*by, number)
+    return durable(known.groupBy(*by, "_x").agg(F.count(F.lit(1)).alias("_n")))
+
+
+def quantiles_of(counts: DataFrame, probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
+    """`quantiles` of counted values. The most values of a key decide between the two plans."""
+    wanted = F.array(*[F.lit(float(p)) for p in probs])
+    most = counts.groupBy(*by).count().agg(F.max("count")).first()[0] if by else counts.count()
+    if (most or 0) <= limit(counts.sparkSession, "distinctValues"):
+        return _grouped(counts, by).agg(F.percentile("_x", wanted, F.col("_n")).alias("q"))
+    return _by_rank(counts, probs, by)
+
+
+def quantile_values(counts: DataFrame, probs: Sequence[float]) -> list[float | None]:
+    """Quantiles of all counted values as numbers; None where there are no values."""
+    found = quantiles_of(counts, probs).first()
+    return list(found.q) if found and found.q else [None] * len(probs)
+
+
 def _grouped(df: DataFrame, by: Sequence[str]):
     return df.groupBy(*by) if by else df.groupBy()
 

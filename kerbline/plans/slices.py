@@ -183,3 +183,48 @@ def next_values(
     local = rows.withColumns({f"_l_{n}": v.over(here) for n, v in nearest.items()})
     joined = local.join(F.broadcast(carries), [SLICE, *by], "left")
     return joined.select(*df.columns, *[F.coalesce(f"_l_{n}", f"_c_{n}").alias(n) for n in values])
+
+
+KEY = "_key"
+
+
+def wide_means(
+    df: DataFrame, by: Sequence[str], order: Sequence[Order], column: str, name: str, first: int, last: int
+) -> DataFrame:
+    """Add the mean of `column` over the rows from `first` to `last` before the row (0 is the row itself).
+
+    For frames too wide to walk or to copy: sums and counts run along each key once, and a mean is the
+    difference of two of them over that of their counts. Up to the limit for one key they are looked up by
+    an offset in one window, beyond that by a join on key and position, so no row is copied to a slice.
+    Sums of whole numbers are exact.
+    """
+    whole = df.schema[column].dataType.typeName() in ("integer", "long", "short", "byte")
+    value = F.col(column).cast("long" if whole else "double")
+    valued = df.withColumns({"_value": F.coalesce(value, F.lit(0)), "_one": F.col(column).isNotNull().cast("long")})
+    if heaviest_key(df, by) <= limit(df.sparkSession, "keyRows"):
+        spec = Window.partitionBy(*by).orderBy(*order)
+        upto = spec.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        summed = valued.withColumns({"_s": F.sum("_value").over(upto), "_c": F.sum("_one").over(upto)})
+        ends = {}
+        for end, back in (("_hi", last), ("_lo", first + 1)):
+            for part in ("_s", "_c"):
+                at = F.lag(part, back).over(spec) if back else F.col(part)
+                ends[f"{end}{part}"] = F.coalesce(at, F.lit(0))
+        return _mean(summed.withColumns(ends), df.columns, name)
+    # A key as text is never null, so rows without a key form a group as in a window.
+    keyed = valued.withColumn(KEY, F.to_json(F.struct(*by), {"ignoreNullFields": "false"}))
+    rows = durable(
+        running_sums(keyed, [KEY], [*by, *order], {"_s": F.col("_value"), "_c": F.col("_one"), "_at": F.lit(1)})
+    )
+    found = rows
+    for end, back in (("_hi", last), ("_lo", first + 1)):
+        held = rows.select(
+            KEY, (F.col("_at") + back).alias("_at"), F.col("_s").alias(f"{end}_s"), F.col("_c").alias(f"{end}_c")
+        )
+        found = found.join(held, [KEY, "_at"], "left").fillna(0, [f"{end}_s", f"{end}_c"])
+    return _mean(found, df.columns, name)
+
+
+def _mean(rows: DataFrame, columns: Sequence[str], name: str) -> DataFrame:
+    known = F.nullif(F.col("_hi_c") - F.col("_lo_c"), F.lit(0))
+    return rows.select(*columns, ((F.col("_hi_s") - F.col("_lo_s")) / known).alias(name))

@@ -132,3 +132,39 @@ def test_percent_rank_of_ties_and_single_row(spark, both_plans):
     df = events(spark, [("a", s, 0, 1) for s in (0, 5, 5, 9)])
     assert sorted(r.pr for r in h.time_percent_rank(df).collect()) == [0.0, 1 / 3, 1 / 3, 1.0]
     assert rows(h.time_percent_rank(df.limit(1)), "pr") == [(0.0,)]
+
+
+@pytest.mark.parametrize("past_only", [False, True])
+def test_very_wide_frames(spark, both_plans, past_only):
+    """Frames wider than the data, and than a few rows, from running sums; nulls and rows without device."""
+    pick = random.Random(5)
+    spec = [(pick.choice(["hot", "hot", "a", "b", None]), pick.randrange(300), pick.choice([0, 1, None]), i) for i in range(900)]
+    df = events(spark, spec).withColumn("target_occupied", F.col("occupied"))
+    held = {}
+    for i, (device, second, state, _) in enumerate(spec):
+        held.setdefault(device, []).append((second, i, state))
+    for n in (1_001, 10**6):
+        rolled = h.arrivals_n(h.rolling_occ(df, n, past_only=past_only), n)
+        got = {r.event_id: r for r in rolled.collect()}
+        assert len(got) == len(spec)
+        for group in held.values():
+            group.sort()
+            for at, (_, i, _) in enumerate(group):
+                frame = group[max(0, at - n) : at] if past_only else group[max(0, at + 1 - n) : at + 1]
+                known = [s for _, _, s in frame if s is not None]
+                name = f"rolling_occ_past{n}" if past_only else f"rolling_occ_N{n}"
+                assert got[i][name] == (sum(known) / len(known) if known else None)
+                assert got[i][f"arrivals_N{n}"] == min(at + 1, n)
+
+
+def test_wide_frames_equal_narrow_ones(spark, both_plans):
+    df = two_devices(spark).withColumn("target_occupied", F.col("occupied"))
+    for past_only in (False, True):
+        narrow = sorted(map(str, h.rolling_occ(df, 3, past_only=past_only).collect()))
+        spark.conf.set("spark.kerbline.frameRows", "2")
+        try:
+            wide = sorted(map(str, h.rolling_occ(df, 3, past_only=past_only).collect()))
+            doubles = h.rolling_occ(df, 3, column="duration_min", past_only=past_only).count()
+        finally:
+            spark.conf.unset("spark.kerbline.frameRows")
+        assert wide == narrow and doubles == 25

@@ -3,6 +3,7 @@
 from conftest import rows
 from pyspark.sql import functions as F
 
+from kerbline.functions import hashing
 from kerbline.operators import sampling as s
 
 
@@ -64,3 +65,24 @@ def test_class_weights(spark):
     assert dict(rows(s.class_weights(df))) == {1.0: 2.0, 0.0: 4 / 6}
     ones = df.filter("label = 1")
     assert rows(s.class_weights(ones)) == [(1.0, 0.5)]
+
+
+def test_balanced_sample_by_finer_cells(spark, monkeypatch):
+    """Cells cut digit by digit give the rows that a sort by digest gives."""
+    df = spark.range(2000).select(
+        "id", F.when(F.col("id") % 7 == 0, "a").when(F.col("id") % 7 == 1, "b").when(F.col("id") < 1900, "c").alias("status")
+    )
+    digests = [(r.status, r.d, r.id) for r in df.select("id", "status", hashing.digest(F.col("id"), 42).alias("d")).collect()]
+    monkeypatch.setattr(s, "PREFIX", 1)
+    spark.conf.set("spark.kerbline.keyRows", "3")
+    try:
+        for k in (1, 40, 10_000):
+            got = sorted(r.id for r in s.balanced_sample(df, "status", k, "id").collect())
+            n = min(k, 286)
+            wanted = []
+            for status in "abc":
+                wanted += [i for _, _, i in sorted(x for x in digests if x[0] == status)[:n]]
+            assert got == sorted(wanted)
+    finally:
+        spark.conf.unset("spark.kerbline.keyRows")
+    assert s.balanced_sample(df.filter("false"), "status", 5, "id").count() == 0

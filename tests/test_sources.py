@@ -4,7 +4,7 @@ from conftest import at, rows
 from pyspark.sql import functions as F
 
 from kerbline import schemas
-from kerbline.operators import cleaning
+from kerbline.operators import cleaning, history
 from kerbline.plans.tables import register_views
 from kerbline.sources import readers, writers
 
@@ -110,3 +110,39 @@ def test_events_json_write(spark, tmp_path):
     writers.write_events_json(df, str(tmp_path / "in"))
     writers.write_events_json(df, str(tmp_path / "in"))
     assert readers.read_events_json(spark, str(tmp_path / "in")).count() == 2
+
+
+def _bronze(spark, days, tag):
+    return spark.range(600).select(
+        F.concat(F.lit("d"), F.col("id") % 37).alias("device_id"), F.lit("S1").alias("street_marker"),
+        F.timestamp_seconds(F.col("id") * 7 + F.lit(1_704_067_200) + (F.col("id") % len(days)) * 86_400).alias("event_time"),
+        F.lit("present").alias("status_norm"), F.lit(1.0).alias("duration_min"), F.lit(tag).alias("tag"),
+        F.element_at(F.array(*[F.to_date(F.lit(d)) for d in days]), (F.col("id") % len(days) + 1).cast("int")).alias("event_date"),
+    )
+
+
+def test_bronze_replaces_only_the_dates_it_gets(spark, tmp_path):
+    path = str(tmp_path / "bronze")
+    writers.write_bronze(_bronze(spark, ["2024-01-01", "2024-01-02"], "old"), path)
+    writers.write_bronze(_bronze(spark, ["2024-01-02"], "new"), path)
+    found = spark.read.parquet(path).groupBy("event_date", "tag").count()
+    assert sorted((str(r.event_date), r.tag, r["count"]) for r in found.collect()) == [
+        ("2024-01-01", "old", 300), ("2024-01-02", "new", 600),
+    ]
+
+
+def test_bucketed_bronze_gives_history_without_a_shuffle(spark):
+    name = "bronze_by_device_test"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    writers.save_bronze(_bronze(spark, ["2024-01-01", "2024-01-02"], "old"), name, buckets=4)
+    writers.save_bronze(_bronze(spark, ["2024-01-02"], "new"), name, buckets=4)
+    found = spark.table(name).groupBy("event_date", "tag").count()
+    assert sorted((str(r.event_date), r.tag, r["count"]) for r in found.collect()) == [
+        ("2024-01-01", "old", 300), ("2024-01-02", "new", 600),
+    ]
+    base = cleaning.silver_base(spark.table(name))
+    out = history.silver_history(base)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Window" in plan and "Exchange" not in plan
+    assert out.count() == 900
+    spark.sql(f"DROP TABLE {name}")
