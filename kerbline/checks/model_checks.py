@@ -13,6 +13,7 @@ from functools import partial
 
 from pyspark.sql import functions as F
 
+from kerbline import schemas
 from kerbline.checks.common import DATED, plain, sql
 from kerbline.checks.history_checks import LABELLED
 from kerbline.operators import features as f
@@ -27,11 +28,7 @@ NUMERIC = [
     "hour_sin", "hour_cos", "dow_sin", "dow_cos", "in_violation",
 ]
 CATEGORIES = ["street_marker", "area_name"]
-WEIGHTED = [
-    "hour", "dow", "is_weekend", "duration_min", "log_duration_min", "is_peak",
-    "hour_x_weekend", "dow_x_weekend",
-]
-WEIGHTED_CATEGORIES = ["street_marker", "hour_bucket"]
+WEIGHTED, WEIGHTED_CATEGORIES = schemas.WEIGHTED_FEATURES, schemas.WEIGHTED_CATEGORIES
 PLAIN_NUMBERS = ["hour", "dow", "is_weekend", "duration_min"]
 
 

@@ -79,6 +79,11 @@ CATEGORY_FEATURES = [
     "PartOfDay", "AreaName", "SideName", "SideOfStreetCode",
     "street_marker_lumped", "device_id_lumped",
 ]
+WEIGHTED_FEATURES = [
+    "hour", "dow", "is_weekend", "duration_min", "log_duration_min", "is_peak",
+    "hour_x_weekend", "dow_x_weekend",
+]
+WEIGHTED_CATEGORIES = ["street_marker", "hour_bucket"]
 LEAKY = ["Status", "_occupied", "_occupied_imp"]
 
 PREDICTIONS = _schema(
