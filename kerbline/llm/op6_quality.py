@@ -426,7 +426,7 @@ def _joined_measures(docs: DataFrame, held: Tables, own: list[str]) -> DataFrame
             out = out.append_column(name, values_of)
         return out
 
-    schema = StructType([docs.schema[c] for c in own] + StructType.fromDDL(MEASURES).fields)
+    schema = StructType([blocks.schema[c] for c in own] + StructType.fromDDL(MEASURES).fields)
     return blocks.groupBy("_block").cogroup(facts.groupBy("of")).applyInArrow(total, schema)
 
 

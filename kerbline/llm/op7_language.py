@@ -20,6 +20,8 @@ from __future__ import annotations
 import functools
 import hashlib
 import re
+import sys
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -38,13 +40,22 @@ ROUNDS = 3
 #: Expected count every piece has in every language before training.
 SMOOTHING = 0.01
 BEGIN = "▁"
-LETTERS = re.compile(r"[^\W\d_]+")
 #: Longer words are scored one by one, with rescaling against underflow.
 LONG = 30
 #: Distinct words scored at once, those a worker remembers, and texts handled at once.
 BLOCK, REMEMBERED, TEXTS = 20_000, 400_000, 256
 
 
+@functools.cache
+def letters() -> re.Pattern:
+    """Words: letters, and the combining marks that follow them (vowel signs, accents of decomposed text)."""
+    marks = [c for c in range(sys.maxunicode + 1) if unicodedata.category(chr(c)) in ("Mn", "Mc")]
+    held = set(marks)
+    firsts, lasts = ([c for c in marks if c + step not in held] for step in (-1, 1))
+    ranges = "".join(f"{chr(a)}-{chr(b)}" for a, b in zip(firsts, lasts, strict=True))
+    return re.compile(rf"(?:[^\W\d_]++[{ranges}]*+)++")
+
+
 class Pieces:
     """A vocabulary as a tree of characters: each leads to the piece that ends there, or -1, and further on."""
 
@@ -103,8 +114,11 @@ def pieces(path: str) -> Pieces:
 
 
 def spelled(word: str) -> str:
-    """Only the letters; Python's class of word characters has some numbers too."""
-    return word if word.isalpha() else "".join(filter(str.isalpha, word))
+    """Only letters and marks; Python's class of word characters has some numbers too. Marks alone are no word."""
+    if word.isalpha():
+        return word
+    kept = "".join(c for c in word if c.isalpha() or unicodedata.category(c) in ("Mn", "Mc"))
+    return kept if any(map(str.isalpha, kept)) else ""
 
 
 def _sweep(n, w, begin, end, weight, back: bool) -> np.ndarray:
@@ -195,7 +209,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
         for batch in batches:
             for lang, text in zip(batch["lang"].to_pylist(), batch["text"].to_pylist(), strict=True):
-                for word in LETTERS.findall(text.lower()):
+                for word in letters().findall(text.lower()):
                     held[lang, word] = held.get((lang, word), 0) + 1
                 if len(held) > REMEMBERED:
                     yield rows()
@@ -295,7 +309,7 @@ _remembered = Remembered()
 
 
 def _verdicts(texts: list[str | None], model: Model, mark: bytes) -> Iterator[tuple[str, float]]:
-    words = [LETTERS.findall((t or "").lower()) for t in texts]
+    words = [letters().findall((t or "").lower()) for t in texts]
     for at in _remembered.rows(words, model.table, pieces(model.path), mark):
         if not model.languages or not _remembered.lettered[at].any():
             yield "und", 0.0

@@ -1,6 +1,7 @@
 """Language identification: sums over segmentations by brute force, held-out accuracy, edges."""
 
 import math
+import time
 import zlib
 
 import numpy as np
@@ -74,3 +75,24 @@ def test_edges(spark):
     empty = op.train(docs.filter("false"))
     assert {r.lang_pred for r in op.predict(docs, empty).collect()} == {"und"}
     assert op.predict(docs.filter("false"), model).count() == 0
+
+
+def test_marks_belong_to_words():
+    assert op.letters().findall("हिन्दी भाषा, ภาษาไทย e\u0301te\u0301 a1b \u0301x") == [
+        "हिन्दी", "भाषा", "ภาษาไทย", "e\u0301te\u0301", "a", "b", "x",
+    ]
+    assert op.spelled("हिन्दी") == "हिन्दी" and op.spelled("²\u0301") == "" and op.spelled("x²") == "x"
+    began = time.time()
+    op.letters().findall("a\u0301" * 500_000 + "1" + "b" * 1_000_000)
+    assert time.time() - began < 5
+
+
+def test_scripts_with_marks_are_told_apart(spark):
+    hindi = "यह हिन्दी में लिखा हुआ एक छोटा पाठ है और इसमें कुछ शब्द हैं"
+    marathi = "हा मराठीत लिहिलेला एक छोटा मजकूर आहे आणि त्यात काही शब्द आहेत"
+    thai = "นี่คือข้อความภาษาไทยสั้น ๆ ที่มีคำอยู่บ้าง"
+    docs = spark.createDataFrame([(1, hindi, "hi"), (2, marathi, "mr"), (3, thai, "th")] * 3, "doc_id long, text string, lang string")
+    model = op.train(docs)
+    asked = spark.createDataFrame([(1, "हिन्दी में कुछ शब्द"), (2, "मराठीत काही शब्द आहेत"), (3, "ภาษาไทยสั้น"), (4, "\u0301\u0902")], "doc_id long, text string")
+    found = {r.doc_id: r.lang_pred for r in op.predict(asked, model).collect()}
+    assert found == {1: "hi", 2: "mr", 3: "th", 4: "und"}
