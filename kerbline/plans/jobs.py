@@ -46,11 +46,11 @@ def prepare_data(spark: SparkSession, clean_csv: str, out: str) -> int:
 
 
 def build_silver(
-    spark: SparkSession, export: str, out: str, minutes: int = 15, multi_line: bool = True
+    spark: SparkSession, export: str, out: str, minutes: int = 15, multi_line: bool | None = None
 ) -> None:
     """Loose export to bronze by date, then train-ready rows.
 
-    An export without line breaks in fields is read by many tasks with `multi_line` False.
+    An export without line breaks in fields is read by many tasks; `multi_line` saves the look for them.
     """
     loose = readers.read_loose_csv(spark, export, multi_line)
     writers.write_bronze(cleaning.bronze_events(loose), f"{out}/bronze")
@@ -316,7 +316,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     elif args.job == "prepare":
         prepare_data(spark, args.clean_csv, args.out)
     elif args.job == "silver":
-        build_silver(spark, args.export, args.out, multi_line=not args.single_line)
+        build_silver(spark, args.export, args.out, multi_line=False if args.single_line else None)
     elif args.job == "train":
         train_and_export(spark.read.parquet(args.clean), args.out, args.key).show()
     elif args.job == "weighted":

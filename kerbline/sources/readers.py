@@ -20,12 +20,24 @@ def read_clean_csv(spark: SparkSession, path: str, schema: T.StructType = schema
     return spark.read.schema(schema).option("header", True).csv(path)
 
 
-def read_loose_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def breaks_in_fields(spark: SparkSession, path: str) -> bool:
+    """Whether some field of a CSV may hold a line break: a line with an odd number of quotes opens one.
+
+    Doubled quotes inside a field come in pairs. The lines are looked at by many tasks, until one is found.
+    """
+    lines = spark.read.text(path)
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    return not lines.filter(quotes % 2 == 1).isEmpty()
+
+
+def read_loose_csv(spark: SparkSession, path: str, multi_line: bool | None = None) -> DataFrame:
     """CSV as text only, with line breaks and doubled quotes inside fields.
 
-    A file that may have line breaks in fields cannot be split, so it is read by one task. Pass
-    `multi_line` False for large files without such fields.
+    A file that has line breaks in fields cannot be split, so it is read by one task; others are cut into
+    parts for many tasks. A look at the lines decides, unless `multi_line` says what the files have.
     """
+    if multi_line is None:
+        multi_line = breaks_in_fields(spark, path)
     return (
         spark.read.option("header", True)
         .option("multiLine", multi_line)

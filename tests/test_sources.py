@@ -146,3 +146,18 @@ def test_bucketed_bronze_gives_history_without_a_shuffle(spark):
     assert "Window" in plan and "Exchange" not in plan
     assert out.count() == 900
     spark.sql(f"DROP TABLE {name}")
+
+
+def test_loose_csv_splits_where_no_field_has_breaks(spark, tmp_path):
+    plain, broken = tmp_path / "plain.csv", tmp_path / "broken.csv"
+    plain.write_text('a,b\n1,"x ""y"" z"\n' + "2,long\n" * 40_000)
+    broken.write_text('a,b\n1,"x\ny"\n2,"p ""q\n"" r"\n')
+    assert not readers.breaks_in_fields(spark, str(plain)) and readers.breaks_in_fields(spark, str(broken))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
+    try:
+        many = readers.read_loose_csv(spark, str(plain))
+        assert many.rdd.getNumPartitions() > 1 and many.count() == 40_001
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert many.first().b == 'x "y" z'
+    assert rows(readers.read_loose_csv(spark, str(broken)), "a", "b") == [("1", "x\ny"), ("2", 'p "q\n" r')]
