@@ -8,8 +8,9 @@ marginal probability given the whole page. Nodes over one half are content.
 
 Labelled pages are those that mark their article (`article`, `main` or role main); a node is content there
 if it is inside and in no part that by its tag or names is a menu, header, footer, sidebar, notice,
-advert, form or comment section. Such names also count on pages that mark nothing, but not for html and
-body, and not where they would leave a page nearly without text: there a box, or boxes of one name, that
+advert, form or comment section. A name tells that only as a whole (`comments`, `site-footer`): one that has
+other parts (`related-work`, `no-sidebar`) leaves the node to the messages. Such names also count on pages that
+mark nothing, but not for html and body, and not where they would leave a page nearly without text: there a box, or boxes of one name, that
 hold most of the words outside links are judged by the messages alone, and so are their parts. At most
 TRAINING_PAGES labelled pages are used, picked by a digest; extraction covers all pages.
 
@@ -58,6 +59,12 @@ OUTSIDE_NAMES = {
     "newsletter", "notice", "pagination", "popup", "promo", "related", "replies", "reply", "respond", "search",
     "share", "sharing", "sidebar", "signup", "social", "sponsor", "sponsored", "subscribe", "toolbar", "widget",
 }
+# Parts that say nothing beside others, as in `site-footer` or `comment-list`.
+NEUTRAL_NAMES = {
+    "area", "bar", "block", "bottom", "box", "button", "buttons", "container", "global", "group", "inner", "item",
+    "items", "left", "link", "links", "list", "main", "mobile", "page", "panel", "primary", "right", "secondary",
+    "section", "site", "top", "wrap", "wrapper",
+}
 INSIDE_NAMES = {"article", "articlebody", "entry", "main", "post", "story"}
 
 #: Tags whose start ends an open element of the second set.
@@ -80,6 +87,10 @@ _ATTRIBUTE = re.compile(r"([a-zA-Z-]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\
 RAW = {"script", "style", "textarea", "title", "iframe", "noscript"}
 
 
+#: Pages that mark their article, as Spark SQL.
+MARKED = r"""lower(html) RLIKE '<(article|main)[\\s/>]|role\\s*=\\s*[\"\']?main'"""
+
+
 class Node:
     __slots__ = ("cause", "children", "hint", "linked", "parent", "tag", "words")
 
@@ -93,18 +104,25 @@ def _hint(tag: str, attributes: str) -> tuple[int, str]:
     """What a tag and its names say: outside the text, inside it, or nothing; and which of them say outside."""
     if tag in OUTSIDE:
         return OUT, tag
-    names: set[str] = set()
+    outside: set[str] = set()
+    inside = tag in INSIDE
     for m in _ATTRIBUTE.finditer(attributes):
         key, value = m[1].lower(), unescape(m[2] or m[3] or m[4] or "")
         if key in ("class", "id", "role", "itemprop", "aria-label"):
-            names.update(_PARTS.findall(value.lower()))
+            for name in value.lower().split():
+                parts = set(_PARTS.findall(name))
+                told = parts & OUTSIDE_NAMES
+                # `related-work` and `no-sidebar` are about something else: no part may be left over.
+                if told and parts <= OUTSIDE_NAMES | NEUTRAL_NAMES:
+                    outside |= told
+                inside = inside or bool(parts & INSIDE_NAMES)
         elif key == "hidden" or key == "aria-hidden" and value == "true":
             return OUT, "hidden"
         elif key == "style" and value and "display:none" in value.replace(" ", "").lower():
             return OUT, "hidden"
-    if names & OUTSIDE_NAMES:
-        return OUT, " ".join(sorted(names & OUTSIDE_NAMES))
-    return (IN if tag in INSIDE or names & INSIDE_NAMES else NONE), ""
+    if outside:
+        return OUT, " ".join(sorted(outside))
+    return (IN if inside else NONE), ""
 
 
 class Page:
@@ -363,7 +381,7 @@ def train(pages: DataFrame, most: int = TRAINING_PAGES) -> Potentials:
             [pa.array(c, pa.int64()) for c in columns], ["kind", "a", "b", "label", "n"]
         )
 
-    marked = pages.filter(F.expr("lower(html) RLIKE '<(article|main)[ >]'")).select("html")
+    marked = pages.filter(F.expr(MARKED)).select("html")
     n = max(marked.count(), 1)
     share = F.xxhash64("html") % 1_000_000
     picked = marked.filter(F.abs(share) < F.lit(int(1e6 * min(1.0, most / n)))) if n > most else marked

@@ -106,3 +106,21 @@ def test_wrappers_with_telling_names_keep_their_text(spark):
     ):
         found = op.main_text(page, potentials)
         assert found == "\n\n".join(f"{k} {words}" for k in ("One", "Two", "Three")), page
+
+
+def test_sections_with_names_about_something_else_keep_their_text(spark):
+    potentials = op.train(spark.read.parquet(f"{FOLDER}/pages.parquet"))
+    words = "some words of a paragraph that goes on for quite a while and says a thing or two more."
+    start = "<nav><a href=x>Home</a></nav><article>" + "".join(f"<p>{k} {words}</p>" for k in ("One", "Two", "Three"))
+    for name in ("related-work", "notice-period", "form-of-government", "promo-code-guide", "search-engines", "plain-box"):
+        text = op.main_text(f"<body>{start}<section class={name}><p>Four {words}</p></section></article></body>", potentials)
+        assert text.split("\n\n") == [f"{k} {words}" for k in ("One", "Two", "Three", "Four")], name
+    for name in ("comments", "comment-list", "site-footer", "related", "cookie-notice", "search-box"):
+        text = op.main_text(f"<body>{start}<section class={name}><p>Four {words}</p></section></article></body>", potentials)
+        assert "Four" not in text, name
+
+
+def test_all_marks_train(spark):
+    pages = [("<ARTICLE\nid=a><p>a b",), ("<main><p>a b",), ("<div role=main><p>x",), ("<div role = 'main'><p>x",), ("<articles><p>x",), (None,)]
+    marked = spark.createDataFrame(pages, "html string").filter(op.MARKED)
+    assert marked.count() == 4
