@@ -70,7 +70,8 @@ def fingerprints(text: Column) -> Column:
     """Fingerprints of a text column as signed longs."""
 
     def over(column: pa.Array) -> pa.Array:
-        return pa.array((_signed(fingerprint(t)) for t in column.to_pylist()), pa.int64())
+        # text by text, so that a batch is not held twice
+        return pa.array((_signed(fingerprint(t.as_py())) for t in column), pa.int64())
 
     return F.arrow_udf(over, "long")(text)
 

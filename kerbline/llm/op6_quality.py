@@ -42,6 +42,10 @@ from kerbline.plans.limits import limit
 NAME = "op6_quality"
 ORDER = 5
 WINDOW = 8
+#: Bytes of text measured at once; a longer text is measured alone and whole.
+PART = W.SLICE // 4
+#: 5-grams that a task gathers before it adds them up, and passes them on if half are distinct.
+HELD = 1_000_000
 #: Bytes of text in a block that is joined with its probabilities.
 BLOCK = 2 * W.SLICE
 LEAST_WORDS = 20
@@ -77,7 +81,7 @@ def _stream(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 def _texts(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, list[bytes]]]:
     data, offsets = W.buffers(column)
-    for begin, end in W.slices(offsets):
+    for begin, end in W.slices(offsets, PART):
         own = offsets[begin : end + 1]
         held = data[own[0] : own[-1]]
         own = own - own[0]
@@ -101,18 +105,24 @@ def count_grams(docs: DataFrame) -> DataFrame:
     """Counts of all 5-grams: the half they help to judge, gram (packed), n."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        held, size = [], 0
         for batch in batches:
             for *_, texts in _texts(batch["text"]):
                 codes, back, _ = _halved(texts)
-                both = np.concatenate([grams, codes])
-                n = np.concatenate([counts, np.bincount(back, minlength=len(codes))])
-                grams, at = np.unique(both, return_inverse=True)
-                counts = np.bincount(at, n, len(grams)).astype(np.int64)
-                if len(grams) > 4_000_000:
-                    yield _pairs(grams, counts)
-                    grams, counts = grams[:0], counts[:0]
-        yield _pairs(grams, counts)
+                held.append((codes, np.bincount(back, minlength=len(codes)).astype(np.int32)))
+                size += len(codes)
+                if size > HELD:
+                    held = [_merged(held)]
+                    size = len(held[0][0])
+                    if size > HELD // 2:
+                        yield _pairs(*held[0])
+                        held, size = [], 0
+        if held:
+            yield _pairs(*_merged(held))
+
+    def _merged(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        grams, at = np.unique(np.concatenate([g for g, _ in held]), return_inverse=True)
+        return grams, np.bincount(at, np.concatenate([n for _, n in held]), len(grams)).astype(np.int64)
 
     def _pairs(grams: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
         judges = 1 - (grams >> np.uint64(8 * ORDER)).astype(np.int32)
