@@ -11,6 +11,7 @@ from kerbline.operators import ml
 from kerbline.operators import model_tables as mt
 from kerbline.operators.category_index import CategoryIndex
 from kerbline.operators.sampling import parts, random_split
+from kerbline.plans.durable import durable, spread
 from kerbline.plans.jobs import score_export, train_and_export
 from kerbline.sources.writers import save_model
 
@@ -236,3 +237,16 @@ def test_export_job(spark, tmp_path):
     both = scored.select(F.round("prob_occupied", 6).alias("p")).distinct()
     trained = preds.select(F.round(F.col("prob_occupied").cast("double"), 6).alias("p")).distinct()
     assert {x.p for x in trained.collect()} <= {x.p for x in both.collect()}
+
+
+def test_training_partitions_follow_the_rows(spark):
+    kept = durable(spark.range(20_000))
+    cores = spark.sparkContext.defaultParallelism
+    assert spread(kept).rdd.getNumPartitions() >= cores
+    spark.conf.set("spark.kerbline.partitionRows", "100")
+    try:
+        parted = spread(kept)
+        sizes = [n for (n,) in rows(parted.groupBy(F.spark_partition_id()).count(), "count")]
+        assert len(sizes) == 200 and max(sizes) <= 150 and sum(sizes) == 20_000
+    finally:
+        spark.conf.unset("spark.kerbline.partitionRows")
