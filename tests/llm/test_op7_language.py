@@ -1,6 +1,7 @@
 """Language identification: sums over segmentations by brute force, held-out accuracy, edges."""
 
 import math
+import random
 import time
 import zlib
 
@@ -96,3 +97,11 @@ def test_scripts_with_marks_are_told_apart(spark):
     asked = spark.createDataFrame([(1, "हिन्दी में कुछ शब्द"), (2, "मराठीत काही शब्द आहेत"), (3, "ภาษาไทยสั้น"), (4, "\u0301\u0902")], "doc_id long, text string")
     found = {r.doc_id: r.lang_pred for r in op.predict(asked, model).collect()}
     assert found == {1: "hi", 2: "mr", 3: "th", 4: "und"}
+
+
+def test_plain_words_equal_those_of_all_marks():
+    drawn = random.Random(5)
+    kinds = [range(32, 127), range(32, 0x300), range(32, 0x1200), [0x130, 0x2FF, 0x300, 0x20, 0x41, 0x903]]
+    for kind in kinds:
+        text = "".join(chr(drawn.choice(kind)) for _ in range(4_000))
+        assert op.words_of(text) == op.letters().findall(text.lower())
