@@ -81,3 +81,12 @@ def test_edges(spark):
     assert sorted((r.decoded, len(r.token_ids)) for r in found) == [("", 0), ("", 0), ("", 0), ("ab", 4)]
     assert bpe.digests(docs).count() == 4
     assert bpe.digests(docs.filter("false")).count() == 0
+
+
+def test_short_words_merge_as_with_the_queue(monkeypatch):
+    held, drawn = bpe.vocabulary(bpe.VOCABULARY), random.Random(3)
+    words = [bytes(drawn.choice(b"aaabtheringso \xc3\xa9") for _ in range(n)) for n in range(1, 41) for _ in range(40)]
+    assert len(held._merged_short([held.byte[b] for b in b" the"])) == 1
+    short = [held.merged(w) for w in words]
+    monkeypatch.setattr(bpe, "SHORT", 0)
+    assert [held.merged(w) for w in words] == short
