@@ -5,6 +5,7 @@ import random
 import time
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -90,3 +91,44 @@ def test_short_words_merge_as_with_the_queue(monkeypatch):
     short = [held.merged(w) for w in words]
     monkeypatch.setattr(bpe, "SHORT", 0)
     assert [held.merged(w) for w in words] == short
+
+
+def test_columns_equal_the_library(library):
+    """Cut by classes of bytes or by the pattern, text beside text, each row is as the library has it."""
+    pick = random.Random(11)
+    kinds = [
+        "aabces' \n\t1_,.<|", "dlmrstve''' x\n", "éßñłaz' \x1c9\n", "é×÷²ab'  ", "ab\x85 \xa0's", "日本 a's", "a<|endoftext|> s'll",
+    ]
+    texts = [None, *ODD, "it's", "'ll", "'", "s", "<|endoftext|", ">", *(
+        "".join(pick.choice(pick.choice(kinds)) for _ in range(pick.randint(0, 40))) for _ in range(2000)
+    )]
+    texts += ["".join(pick.choice(kind) for _ in range(pick.randint(0, 40))) for kind in kinds for _ in range(1000)]
+    texts += ["'s<|endoftext|>it's  <|endoftext|>", " \n 'rex 'll\t've''d"]
+    column = pa.array([None, "never seen", *texts]).slice(2)
+    ids = bpe.packed(column)
+    wanted = [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(i, "<u4").tolist() for i in ids.to_pylist()] == wanted
+    assert bpe.unpacked(ids).to_pylist() == [library.decode(i, skip_special_tokens=False) for i in wanted]
+    assert len(bpe.packed(pa.array([], pa.string()))) == 0
+    plain = bpe.packed(column, added=False).to_pylist()
+    assert plain == [bpe.pack(t or "", added=False) for t in texts]
+
+
+def test_a_column_merges_each_distinct_word_once(monkeypatch):
+    seen, whole = [], bpe.merged_together
+    monkeypatch.setattr(bpe, "merged_together", lambda held, data, cuts: seen.append(len(cuts) - 1) or whole(held, data, cuts))
+    monkeypatch.setattr(bpe.Vocabulary, "merged", lambda *_: pytest.fail("one by one"))
+    assert len(bpe.packed(pa.array(["été this that this", "that été this"] * 500))) == 1000
+    assert seen == [5]
+
+
+def test_words_merge_side_by_side_as_one_by_one():
+    held, drawn = bpe.vocabulary(bpe.VOCABULARY), random.Random(4)
+    words = [bytes(drawn.choice(b"aaabtheringso \xc3\xa9") for _ in range(n)) for n in range(0, 60) for _ in range(30)]
+    cuts = np.append(0, np.cumsum([len(w) for w in words]))
+    ids, counts = bpe.merged_together(held, np.frombuffer(b"".join(words), np.uint8), cuts)
+    wanted = [held.merged(w) if w else [] for w in words]
+    assert counts.tolist() == [len(w) for w in wanted]
+    assert ids.tolist() == [i for w in wanted for i in w]
+    none = bpe.merged_together(held, np.zeros(0, np.uint8), np.zeros(1, np.int64))
+    assert [len(x) for x in none] == [0, 0]
