@@ -5,6 +5,7 @@ import random
 import time
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import regex
 
@@ -92,3 +93,14 @@ def test_edges(spark):
     assert sorted(bytes(r.decoded) for r in op.decode(part).collect()) == [b"", b"", "é".encode()]
     byte = op.encoding(op.RANKS)._mergeable_ranks[b"\xc3"]
     assert bytes(op.decode(spark.createDataFrame([([byte],)], "token_ids array<int>")).first().decoded) == b"\xc3"
+
+
+def test_columns_are_read_and_made_as_arrays():
+    texts = ["a b", "", " " * 5000 + "é日本", "it's 12", *ODD]
+    made = op._lists(op._ids(t, op.RANKS) for t in texts)
+    assert made.type == pa.list_(pa.int32())
+    assert made.to_pylist() == [op.ids_of(t) for t in texts]
+    assert op.bytes_of(made).to_pylist() == [t.encode() for t in texts]
+    gaps = pa.array([[5], None, [], op.ids_of("é"), None, op.ids_of("x y")], pa.list_(pa.int32()))
+    assert op.bytes_of(gaps.slice(1)).to_pylist() == [b"", b"", "é".encode(), b"", b"x y"]
+    assert len(op._lists(iter([]))) == len(op.bytes_of(gaps.slice(6))) == 0
