@@ -105,3 +105,30 @@ def test_plain_words_equal_those_of_all_marks():
     for kind in kinds:
         text = "".join(chr(drawn.choice(kind)) for _ in range(4_000))
         assert op.words_of(text) == op.letters().findall(text.lower())
+
+
+def walked(held, words):
+    """All arcs, letter by letter down the tree."""
+    out = []
+    for w, word in enumerate(words):
+        text = op.BEGIN + word
+        for i, c in enumerate(text):
+            piece, below = held.root.get(c, (-1, {}))
+            out.append((w, i, i + 1, piece if piece >= 0 else held.byte[c.encode()[0]]))
+            for j in range(i + 1, len(text)):
+                if text[j] not in below:
+                    break
+                piece, below = below[text[j]]
+                if piece >= 0:
+                    out.append((w, i, j + 1, piece))
+    return out
+
+
+def test_arcs_of_all_words_at_once(monkeypatch):
+    held, drawn = op.pieces(op.PIECES), random.Random(6)
+    words = ["", "the", "a", "\u0130\U00010400", "the" * 200, "日本語のテキスト", "straßenbahnhaltestelle"]
+    words += ["".join(drawn.choice("etaonishréüб日ꙮ\U0001f600") for _ in range(drawn.randint(1, 12))) for _ in range(500)]
+    wanted = walked(held, words)
+    monkeypatch.setattr(held, "root", None)  # the tree of dicts is not walked
+    assert list(zip(*(x.tolist() for x in held.arcs(words)), strict=True)) == wanted
+    assert [len(x) for x in held.arcs([])] == [0] * 4
