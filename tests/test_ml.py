@@ -259,3 +259,21 @@ def test_training_partitions_follow_the_rows(spark):
         assert len(sizes) == 200 and max(sizes) <= 150 and sum(sizes) == 20_000
     finally:
         spark.conf.unset("spark.kerbline.partitionRows")
+
+
+def test_one_row_group_is_spread_though_it_covers_many_splits(spark):
+    """Splits without rows do not count: all rows of a row group are in one of its file's splits."""
+    kept = durable(spark.range(4_000).withColumn("text", F.sha2(F.col("id").cast("string"), 512)).coalesce(1))
+    settings = {"spark.sql.files.maxPartitionBytes": "10000", "spark.sql.files.openCostInBytes": "1", "spark.kerbline.partitionRows": "500"}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        cores = spark.sparkContext.defaultParallelism
+        assert kept.rdd.getNumPartitions() >= max(cores, 8)
+        sizes = spread(kept).groupBy(F.spark_partition_id()).count().collect()
+        assert sum(r["count"] for r in sizes) == 4_000
+        assert len(sizes) >= cores and max(r["count"] for r in sizes) <= 600
+        assert spread(kept.filter("false")).count() == 0
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
