@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from kerbline.llm import op12_divergence as op
@@ -125,3 +126,43 @@ def test_edges(spark):
     assert found(extra) == brute(rows[4:])
     assert found(spark.createDataFrame([], SCHEMA)) == []
     assert found(spark.createDataFrame([(None, None, None)], SCHEMA)) == []
+
+
+def test_counts_of_a_task_are_passed_on_in_small_batches(spark, monkeypatch):
+    """Counts of many groups and terms come whole, and no batch that a task hands on is large."""
+    rows = [(i, f"a{chr(97 + i % 26)} b{'c' * (i % 40)} a{chr(97 + i % 26)}", "en" if i % 3 else "de", f"s{i % 7}") for i in range(500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(2)
+    monkeypatch.setattr(op, "ROWS", 16)
+    monkeypatch.setattr(op, "BYTES", 1_000)
+    sizes = []
+    monkeypatch.setattr(type(docs), "mapInArrow", _handed_on(type(docs).mapInArrow, sizes))
+    found = {(r["lang"], r["source"], r.term): (r["n"], r["docs"]) for r in op.count_terms(docs).collect()}
+    wanted = {}
+    for _, text, lang, source in rows:
+        for term in set(text.split()):
+            n, times = wanted.get((lang, source, term), (0, 0))
+            wanted[lang, source, term] = n + text.split().count(term), times + 1
+    assert found == wanted
+    assert max(r[0] for r in sizes[0].collect()) <= 16
+
+
+def _handed_on(original, sizes):
+    """mapInArrow that also keeps a plan of the sizes of the batches."""
+
+    def mapped(self, function, schema):
+        def measured(batches):
+            for batch in function(batches):
+                yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], ["rows"])
+
+        sizes.append(original(self, measured, "rows long"))
+        return original(self, function, schema)
+
+    return mapped
+
+
+def test_batches_of_the_session_stay_as_they_were(spark):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    docs = spark.createDataFrame([(1, "a b", "en", "x")], "doc_id long, text string, lang string, source string")
+    assert sorted(tuple(r) for r in op._counted(docs).collect()) == [("en", "x", "a", 1, 1), ("en", "x", "b", 1, 1)]
+    assert spark.conf.get(name) == before
